@@ -1,0 +1,183 @@
+"""DuckDB SQL for every query in ``postlake.plans.registry.QUERIES``.
+
+Written independently of the Spark code, in the plainest form: the questions
+run over the full joins with ``count(*)``, ``row_number`` and
+``quantile_disc``.  The views ``orders``, ``customer``, ``nation`` and
+``documents`` are the test-data tables.  Types are cast to what the Spark side
+returns (``year`` -> INTEGER, counts BIGINT).
+"""
+
+from __future__ import annotations
+
+_SENTINELS = {
+    "description": "No description available Story format",
+    "follower_count": "User Info Error",
+    "image_src": "Image src error.",
+    "is_image_or_video": "multi-video(story page format)",
+    "poster_name": "User Info Error",
+    "tag_list": "N,o, ,T,a,g,s, ,A,v,a,i,l,a,b,l,e",
+    "title": "No Title Data Available",
+}
+
+RAW_CTES = r"""
+base AS (
+  SELECT o_orderkey AS k, o_custkey AS ck, o_orderpriority AS cat, o_orderdate AS d, c_name, n_name
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+src AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE k % 50 = 0),
+raw_posts AS (
+  SELECT k AS "index", 'post-' || k AS unique_id,
+    CASE WHEN k % 11 = 0 THEN 'No Title Data Available' WHEN k % 13 = 0 THEN '' ELSE 'title ' || k END AS title,
+    CASE WHEN k % 7 = 0 THEN 'No description available Story format' WHEN k % 12 = 0 THEN '' ELSE 'about ' || k END AS description,
+    CASE WHEN k % 17 = 0 THEN 'User Info Error' ELSE c_name END AS poster_name,
+    CASE k % 10 WHEN 0 THEN 'User Info Error' WHEN 1 THEN '' WHEN 2 THEN (k % 997) || 'k'
+      WHEN 3 THEN (k % 9 + 1) || 'M' WHEN 4 THEN (k % 9) || '.5k' WHEN 5 THEN 'n/a' WHEN 6 THEN NULL
+      ELSE CAST(k * 37 % 100000 AS VARCHAR) END AS follower_count,
+    CASE WHEN k % 19 = 0 THEN 'N,o, ,T,a,g,s, ,A,v,a,i,l,a,b,l,e' ELSE cat || ',x' END AS tag_list,
+    CASE WHEN k % 23 = 0 THEN 'multi-video(story page format)' WHEN k % 2 = 0 THEN 'image' ELSE 'video' END AS is_image_or_video,
+    CASE WHEN k % 29 = 0 THEN 'Image src error.' ELSE 'https://img.example.com/' || k END AS image_src,
+    CAST(k % 2 AS INTEGER) AS downloaded, 'Local save in /data/' || cat AS save_location, cat AS category
+  FROM src),
+raw_geo AS (
+  SELECT k AS ind, CAST(d + INTERVAL '21' YEAR AS VARCHAR) AS "timestamp",
+    CAST(k * 7919 % 18001 AS DOUBLE) / 100 - 90 AS latitude,
+    CAST(k * 104729 % 36001 AS DOUBLE) / 100 - 180 AS longitude, n_name AS country
+  FROM src),
+raw_users AS (
+  SELECT k AS ind, CASE WHEN k % 31 = 0 THEN NULL ELSE substring(c_name, 1, 8) END AS first_name,
+    substring(c_name, 10, 9) AS last_name,
+    CAST(CASE WHEN ck % 41 = 0 THEN NULL ELSE 10 + ck % 60 END AS INTEGER) AS age,
+    CAST(CASE k % 3 WHEN 0 THEN d + INTERVAL '17' YEAR WHEN 1 THEN d + INTERVAL '18' YEAR
+      ELSE d + INTERVAL '19' YEAR END AS VARCHAR) AS date_joined
+  FROM src)"""
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _tolerant_int(x: str) -> str:
+    whole = rf"regexp_extract({x}, '^\s*([+-]?[0-9]*)', 1)"
+    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$') THEN "
+            rf"CASE WHEN regexp_matches({whole}, '[0-9]') THEN TRY_CAST({whole} AS INTEGER) ELSE 0 END END")
+
+
+def _expand(x: str) -> str:
+    return (f"CASE WHEN suffix({x}, 'k') THEN left({x}, length({x}) - 1) || '000' "
+            f"WHEN suffix({x}, 'M') THEN left({x}, length({x}) - 1) || '000000' ELSE {x} END")
+
+
+def _scaled(x: str) -> str:
+    places = rf"CASE regexp_extract({x}, '([A-Za-z])\s*$', 1) WHEN 'k' THEN 3 WHEN 'M' THEN 6 ELSE 0 END"
+    shifted = (rf"(regexp_extract({x}, '^\s*([+-]?)', 1) || regexp_extract({x}, '^\s*[+-]?([0-9]*)', 1) || "
+               rf"rpad(regexp_extract({x}, '\.([0-9]*)', 1), {places}, '0'))")
+    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[kM]?\s*$') "
+            rf"THEN {_tolerant_int(shifted)} END")
+
+
+def _nulled(name: str) -> str:
+    return f"CASE WHEN {name} IN ({_lit(_SENTINELS[name])}, '') THEN NULL ELSE {name} END"
+
+
+CLEAN_CTES = RAW_CTES + f""",
+clean_posts AS (
+  SELECT "index" AS ind, unique_id, {_nulled('title')} AS title, {_nulled('description')} AS description,
+    {_tolerant_int(_expand(_nulled('follower_count')))} AS follower_count,
+    {_nulled('poster_name')} AS poster_name, {_nulled('tag_list')} AS tag_list,
+    {_nulled('is_image_or_video')} AS is_image_or_video, {_nulled('image_src')} AS image_src,
+    replace(save_location, 'Local save in ', '') AS save_location, category
+  FROM raw_posts),
+clean_geo AS (
+  SELECT ind, country, [latitude, longitude] AS coordinates, TRY_CAST("timestamp" AS TIMESTAMP) AS "timestamp"
+  FROM raw_geo),
+clean_users AS (
+  SELECT ind, concat_ws(' ', first_name, last_name) AS user_name, age,
+    TRY_CAST(date_joined AS TIMESTAMP) AS date_joined
+  FROM raw_users),
+banded AS (
+  SELECT ind, age, CASE WHEN age BETWEEN 18 AND 24 THEN '18-24' WHEN age BETWEEN 25 AND 35 THEN '25-35'
+    WHEN age BETWEEN 36 AND 50 THEN '36-50' ELSE '50+' END AS age_group, date_joined
+  FROM clean_users)"""
+
+
+def _with(body: str, ctes: str = CLEAN_CTES) -> str:
+    return f"WITH {ctes.strip()}\n{body.strip()}"
+
+
+_GP = "clean_geo g JOIN clean_posts p ON g.ind = p.ind"
+_GPU = _GP + " JOIN clean_users u ON g.ind = u.ind"
+_UP = "banded u JOIN clean_posts p ON u.ind = p.ind"
+_YEAR_JOINED = "CAST(year(u.date_joined) AS INTEGER)"
+_IN_2015_2020 = "WHERE year(u.date_joined) BETWEEN 2015 AND 2020"
+
+_A1 = f"SELECT g.country, p.category, count(*) AS n FROM {_GP} GROUP BY g.country, p.category"
+_A2 = (f"SELECT CAST(year(g.\"timestamp\") AS INTEGER) AS post_year, p.category, count(*) AS n FROM {_GP} "
+       "WHERE year(g.\"timestamp\") BETWEEN 2018 AND 2022 GROUP BY 1, 2")
+_A3 = f"SELECT u.age_group, p.category, count(*) AS category_count FROM {_UP} GROUP BY 1, 2"
+_W1 = (f"SELECT country, user_name, follower_count FROM (SELECT g.country, u.user_name, p.follower_count, "
+       f"row_number() OVER (PARTITION BY g.country ORDER BY p.follower_count DESC NULLS LAST, g.ind, u.user_name) AS rn "
+       f"FROM {_GPU}) t WHERE rn = 1")
+
+
+def _top(inner: str, part: str, order: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS rn "
+            f"FROM ({inner}) c) t WHERE rn = 1")
+
+
+def _median(groups: str, where: str = "") -> str:
+    return (f"SELECT {groups}, quantile_disc(p.follower_count, 0.5) AS median_follower_count "
+            f"FROM {_UP} {where} GROUP BY ALL")
+
+
+def _raw_cols(table: str) -> str:
+    return _with(f"SELECT * FROM {table}", RAW_CTES)
+
+
+def _follower(expr) -> str:
+    return _with(f'SELECT "index" AS ind, {expr("follower_count")} AS follower_count FROM raw_posts', RAW_CTES)
+
+
+ORACLE: dict[str, str] = {
+    "clean_posts": _with("SELECT * FROM clean_posts"),
+    "clean_geo": _with("SELECT * FROM clean_geo"),
+    "clean_users": _with("SELECT * FROM clean_users"),
+    "follower_count_native": _follower(lambda c: _tolerant_int(_expand(c))),
+    "follower_count_scaled": _follower(_scaled),
+    "follower_count_udf": _follower(lambda c: _tolerant_int(_expand(c))),
+    "age_bands": _with("SELECT ind, age, age_group FROM banded"),
+    "scan_csv": ("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+                 "CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer"),
+    "lookup_value": "SELECT c_name FROM customer WHERE c_custkey = 7 LIMIT 1",
+    "percent_encode": "SELECT doc_id, url_encode(text) AS encoded FROM documents",
+    "scan_json_posts": _raw_cols("raw_posts"),
+    "scan_json_geo": _raw_cols("raw_geo"),
+    "scan_json_users": _raw_cols("raw_users"),
+    "envelope_records": _raw_cols("raw_posts"),
+    "envelope_data": _raw_cols("raw_geo"),
+    "json_decode_posts": _raw_cols("raw_posts"),
+    "json_decode_geo": _raw_cols("raw_geo"),
+    "json_decode_users": _raw_cols("raw_users"),
+    "join_geo_posts": _with(f'SELECT g.ind, g.country, g."timestamp", p.category, p.follower_count FROM {_GP}'),
+    "join_three_way": _with(f"SELECT g.ind, g.country, u.user_name, p.category, p.follower_count FROM {_GPU}"),
+    "join_users_posts": _with("SELECT u.ind, u.user_name, u.age, u.date_joined, p.category, p.follower_count "
+                              "FROM clean_users u JOIN clean_posts p ON u.ind = p.ind"),
+    "category_counts_by_country": _with(_A1),
+    "top_category_by_country": _with(_top(_A1, "country", "n DESC, category")),
+    "posts_per_category_year": _with(_A2),
+    "top_category_by_year": _with(_top(_A2, "post_year", "n DESC, category")),
+    "top_user_by_country": _with(_W1),
+    "top_country_by_followers": _with(_W1 + " ORDER BY follower_count DESC NULLS LAST, country LIMIT 1"),
+    "category_counts_by_age_group": _with(_A3),
+    "top_category_by_age_group": _with(_top(_A3, "age_group", "category_count DESC, category")),
+    "median_followers_by_age_group": _with(_median("u.age_group")),
+    "users_joined_by_year": _with(f"SELECT {_YEAR_JOINED} AS year_joined, count(*) AS number_users_joined "
+                                  "FROM clean_users u GROUP BY 1"),
+    "median_followers_by_join_year": _with(_median(f"{_YEAR_JOINED} AS year_joined")),
+    "median_followers_by_age_group_year": _with(_median(f"u.age_group, {_YEAR_JOINED} AS year_joined")),
+    "users_joined_2015_2020": _with(f"SELECT {_YEAR_JOINED} AS year_joined, count(*) AS number_users_joined "
+                                    f"FROM clean_users u {_IN_2015_2020} GROUP BY 1"),
+    "median_followers_2015_2020": _with(_median(f"{_YEAR_JOINED} AS year_joined", _IN_2015_2020)),
+    "median_followers_age_2015_2020": _with(_median(f"u.age_group, {_YEAR_JOINED} AS year_joined", _IN_2015_2020)),
+    "stream_posts": _with("SELECT * FROM clean_posts"),
+    "stream_geo": _with("SELECT * FROM clean_geo"),
+    "stream_users": _with("SELECT * FROM clean_users"),
+}
