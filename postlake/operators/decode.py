@@ -3,6 +3,8 @@ records, and unpack the two envelope shapes producers send."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -16,10 +18,10 @@ def decode(df: DataFrame, schema: StructType, payload: str = "data",
     A record that does not parse becomes an all-NULL row (kept, as upstream
     does) unless ``drop_malformed``; a field with a bad value is NULL alone.
     """
-    parsed = df.select(F.from_json(F.col(payload).cast("string"), schema).alias("_json"))
+    parsed = df.select(F.from_json(F.col(payload).cast("string"), schema).alias("_json")).select("_json.*")
     if drop_malformed:
-        parsed = parsed.where(F.col("_json").isNotNull())
-    return parsed.select("_json.*")
+        parsed = parsed.where(reduce(lambda a, b: a | b, [F.col(f.name).isNotNull() for f in schema.fields]))
+    return parsed
 
 
 def to_records(df: DataFrame, ignore_null_fields: bool = True) -> DataFrame:

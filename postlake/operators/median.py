@@ -46,37 +46,40 @@ def _pick(hist: DataFrame, group_cols: list[str], order_col: str, weight: str, n
 
 def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
                           weight: str, out: str) -> DataFrame:
-    """``(group…, out)`` for every group with at least one non-NULL value."""
+    """``(group…, out)`` for every group of ``weights``; ``out`` is NULL when a
+    group has no non-NULL value (as SQL aggregates do)."""
     vtype = weights.schema[value].dataType
     if not isinstance(vtype, (IntegerType, ShortType, ByteType)):
         raise TypeError(f"weighted_lower_median needs an integer column of at most 32 bits, got {vtype}")
     g = list(group_cols)
-    rows = (weights.where(F.col(value).isNotNull() & (F.col(weight) > 0))
+    rows = (weights.where(F.col(weight) > 0)
                    .select(*g, F.col(value).cast("long").alias("_v"), F.col(weight).cast("long").alias("_w")))
     bucket = F.shiftright(F.col("_v"), _SHIFT)
 
-    # Pass 1: bucket histogram, group totals, and the bucket holding the target rank.
+    # Pass 1: bucket histogram (NULL values form a NULL bucket that only
+    # marks the group as present), group totals, and the bucket holding the
+    # target rank.
     hist = rows.groupBy(*g, bucket.alias("_b")).agg(F.sum("_w").alias("_bw"))
-    hist = hist.withColumn("_total", F.sum("_bw").over(Window.partitionBy(*g)))
+    groups = hist.select(*g).distinct()
+    ranked = (hist.where(F.col("_b").isNotNull())
+                  .withColumn("_total", F.sum("_bw").over(Window.partitionBy(*g))))
     target = F.shiftright(F.col("_total") + 1, 1)  # ceil(total / 2)
-    chosen = (_pick(hist.withColumn("_target", target), g, "_b", "_bw", F.col("_target"))
+    chosen = (_pick(ranked.withColumn("_target", target), g, "_b", "_bw", F.col("_target"))
               .select(*g, "_b", (F.col("_target") - F.col("_before")).alias("_need")))
 
     # Pass 2: exact values inside the chosen bucket only.
-    inside = rows.withColumn("_b", bucket)
+    inside = rows.where(F.col("_v").isNotNull()).withColumn("_b", bucket)
     cond = _null_safe_on(inside, chosen, g) & (inside["_b"] == chosen["_b"])
     narrowed = inside.join(chosen, cond, "inner").select(
         *[inside[c] for c in g], inside["_v"], inside["_w"], chosen["_need"])
     exact = narrowed.groupBy(*g, "_v", "_need").agg(F.sum("_w").alias("_vw"))
-    found = _pick(exact, g, "_v", "_vw", F.col("_need"))
-    return found.select(*g, F.col("_v").cast(vtype).alias(out))
+    found = _pick(exact, g, "_v", "_vw", F.col("_need")).select(
+        *g, F.col("_v").cast(vtype).alias(out))
+    joined = groups.join(found, _null_safe_on(groups, found, g), "left")
+    return joined.select(*[groups[c] for c in g], found[out])
 
 
 def median_per_group(weights: DataFrame, group_cols: list[str], value: str, weight: str,
                      out: str) -> DataFrame:
-    """Every group of ``weights`` with its lower median; NULL when the group
-    has no non-NULL value (as SQL aggregates do)."""
-    groups = weights.select(*group_cols).distinct()
-    med = weighted_lower_median(weights, group_cols, value, weight, out)
-    joined = groups.join(med, _null_safe_on(groups, med, group_cols), "left")
-    return joined.select(*[groups[c] for c in group_cols], med[out])
+    """Alias of :func:`weighted_lower_median` kept for readability at call sites."""
+    return weighted_lower_median(weights, group_cols, value, weight, out)
