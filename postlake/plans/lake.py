@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,16 +31,18 @@ class Lake:
         digest = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
         self.root = scratch_path(spark, "lake", digest)
         self._clean: dict[str, DataFrame] = {}
+        self._lock = threading.Lock()
 
     def raw(self, name: str) -> DataFrame:
         return raw_table(self.spark, self.sf_dir, name)
 
     def clean(self, name: str) -> DataFrame:
-        if name not in self._clean:
-            path = f"{self.root}/{name}"
-            CLEANERS[name](self.raw(name)).write.mode("overwrite").parquet(path)
-            self._clean[name] = self.spark.read.parquet(path)
-        return self._clean[name]
+        with self._lock:
+            if name not in self._clean:
+                path = f"{self.root}/{name}"
+                CLEANERS[name](self.raw(name)).write.mode("overwrite").parquet(path)
+                self._clean[name] = self.spark.read.parquet(path)
+            return self._clean[name]
 
     def build(self) -> "Lake":
         for name in TABLES:
@@ -60,11 +63,13 @@ class Lake:
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}
+_LAKES_LOCK = threading.Lock()
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The session's lake for ``sf_dir`` (created on first call)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _LAKES:
-        _LAKES[key] = Lake(spark, sf_dir)
-    return _LAKES[key]
+    with _LAKES_LOCK:
+        if key not in _LAKES:
+            _LAKES[key] = Lake(spark, sf_dir)
+        return _LAKES[key]
