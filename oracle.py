@@ -57,7 +57,7 @@ def _lit(s: str) -> str:
 
 def _tolerant_int(x: str) -> str:
     whole = rf"regexp_extract({x}, '^\s*([+-]?[0-9]*)', 1)"
-    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$') THEN "
+    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)\s*$') THEN "
             rf"CASE WHEN regexp_matches({whole}, '[0-9]') THEN TRY_CAST({whole} AS INTEGER) ELSE 0 END END")
 
 
@@ -70,7 +70,7 @@ def _scaled(x: str) -> str:
     places = rf"CASE regexp_extract({x}, '([A-Za-z])\s*$', 1) WHEN 'k' THEN 3 WHEN 'M' THEN 6 ELSE 0 END"
     shifted = (rf"(regexp_extract({x}, '^\s*([+-]?)', 1) || regexp_extract({x}, '^\s*[+-]?([0-9]*)', 1) || "
                rf"rpad(regexp_extract({x}, '\.([0-9]*)', 1), {places}, '0'))")
-    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[kM]?\s*$') "
+    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)[kM]?\s*$') "
             rf"THEN {_tolerant_int(shifted)} END")
 
 
@@ -181,3 +181,9 @@ ORACLE: dict[str, str] = {
     "stream_geo": _with("SELECT * FROM clean_geo"),
     "stream_users": _with("SELECT * FROM clean_users"),
 }
+
+# The SQL-text forms answer the same questions.
+for _name in ("category_counts_by_country", "top_category_by_country", "posts_per_category_year",
+              "top_category_by_year", "top_user_by_country", "top_country_by_followers",
+              "top_category_by_age_group"):
+    ORACLE[f"sql_{_name}"] = ORACLE[_name]

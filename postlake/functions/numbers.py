@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from postlake.functions.text import _col
 
-# A plain decimal number: digits with an optional fraction, or a bare fraction.
-NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
+# A plain decimal number: digits with an optional fraction, or a bare fraction
+# (a lone "." reads as 0, as the non-ANSI cast has it).
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)\s*$"
 INTEGER_PART = r"^\s*([+-]?[0-9]*)"
 # The same number with an optional follower-count suffix.
-SCALED_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[kM]?\s*$"
+SCALED_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)[kM]?\s*$"
 
 # Suffix letter -> zeros appended (follower counts such as 5k, 3M).
 SUFFIX_ZEROS = {"k": "000", "M": "000000"}

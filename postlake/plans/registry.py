@@ -21,9 +21,10 @@ from postlake.operators.decode import (decode, to_records, unpack_envelope, wrap
                                        wrap_records)
 from postlake.plans import questions as q
 from postlake.plans.lake import lake
+from postlake.plans.sql import SQL_QUESTIONS, run_sql_question
 from postlake.schemas import RAW
 from postlake.session import scratch_path
-from postlake.sinks.files import write_topic
+from postlake.sinks.files import register_views, write_topic
 from postlake.sources.files import lookup_value, read_csv, read_topic
 from postlake.streaming.streams import start_clean_stream
 
@@ -151,6 +152,14 @@ def _u(fn, **kw) -> Query:
     return run
 
 
+def _sql(name) -> Query:
+    def run(spark, sf_dir):
+        lk = lake(spark, sf_dir)
+        register_views(lk.posts, lk.geo, lk.users)
+        return run_sql_question(spark, name)
+    return run
+
+
 QUERIES: dict[str, Query] = {
     # cleaning (C1-C3, F1-F5, U1, F7)
     "clean_posts": _clean("posts"),
@@ -195,6 +204,8 @@ QUERIES: dict[str, Query] = {
     "users_joined_2015_2020": _u(q.users_joined_by_year, lo=2015, hi=2020),
     "median_followers_2015_2020": _up(q.median_followers_by_join_year, lo=2015, hi=2020),
     "median_followers_age_2015_2020": _up(q.median_followers_by_age_group_year, lo=2015, hi=2020),
+    # the SQL questions as Spark SQL text over the views
+    **{f"sql_{name}": _sql(name) for name in SQL_QUESTIONS},
     # streams (T1-T3, S4, K1)
     "stream_posts": _stream("posts"),
     "stream_geo": _stream("geo"),

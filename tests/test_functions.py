@@ -18,7 +18,7 @@ def one_col(spark, values, dtype="string"):
 FOLLOWER_CASES = [
     ("5k", 5000), ("1.5k", 1), ("3M", 3000000), ("100", 100), ("n/a", None), ("", None), ("M", 0),
     (None, None), ("k", 0), ("5K", None), ("99999999999", None), ("3000M", None),
-    (" 12 ", 12), ("+5", 5), ("-3", -3), ("1e3", None), (".5", 0), ("1.", 1), ("0x1", None),
+    (" 12 ", 12), ("+5", 5), ("-3", -3), ("1e3", None), (".5", 0), ("1.", 1), (".", 0), ("0x1", None),
     ("1_000", None), ("2147483647", 2147483647), ("2147483648", None), ("12.999k", 12),
 ]
 
@@ -95,3 +95,20 @@ def test_percent_encode_matches_python_quote(spark):
     df = one_col(spark, texts).select("x", percent_encode("x").alias("y"))
     for r in df.collect():
         assert r.y == quote(r.x, safe=""), r.x
+
+
+def test_tolerant_int_equals_the_non_ansi_cast(spark):
+    """Property check on random strings: same result as Spark's cast with ANSI off."""
+    import random
+    rng = random.Random(20)
+    alphabet = " +-.0123456789ekM\t"
+    values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 8))) for _ in range(4000)]
+    values += [".", "-.", "2147483647", "2147483648", "-2147483648", "-2147483649", "\t5\t", "1.5.", "٣"]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = {r.x: r.y for r in df.select("x", F.col("x").cast("int").alias("y")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    mine = {r.x: r.y for r in df.select("x", tolerant_int("x").alias("y")).collect()}
+    assert {k: (legacy[k], mine[k]) for k in legacy if legacy[k] != mine[k]} == {}
