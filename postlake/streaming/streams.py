@@ -77,3 +77,18 @@ def start_clean_stream(spark: SparkSession, kind: str, source: str, table: str,
     """posts / geo / users: source -> decode -> clean -> append to ``table``."""
     records = read_stream(spark, source, source_fmt, start_at=start_at, options=source_options)
     return append_stream(clean_stream(records, kind, drop_malformed), table, checkpoint, fmt, path)
+
+
+def stream_posts(spark: SparkSession, source: str, table: str, checkpoint: str, **kw) -> StreamingQuery:
+    """Posts stream: records -> decode -> :func:`clean_posts` -> ``table``."""
+    return start_clean_stream(spark, "posts", source, table, checkpoint, **kw)
+
+
+def stream_geo(spark: SparkSession, source: str, table: str, checkpoint: str, **kw) -> StreamingQuery:
+    """Geolocation stream: records -> decode -> :func:`clean_geo` -> ``table``."""
+    return start_clean_stream(spark, "geo", source, table, checkpoint, **kw)
+
+
+def stream_users(spark: SparkSession, source: str, table: str, checkpoint: str, **kw) -> StreamingQuery:
+    """Users stream: records -> decode -> :func:`clean_users` -> ``table``."""
+    return start_clean_stream(spark, "users", source, table, checkpoint, **kw)

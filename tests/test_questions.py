@@ -103,3 +103,31 @@ def test_year_filter_reaches_the_scan(spark, tmp_path, tables):
     g.write.parquet(path)
     plan = q.posts_per_category_year(spark.read.parquet(path), p)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(timestamp" in plan
+
+
+def test_plan_shapes(tables):
+    g, p, u = tables
+    plan = q.top_user_by_country(g, p, u)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    for df in (q.category_counts_by_country(g, p), q.median_followers_by_age_group(u, p)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_sql_forms_agree_with_dataframe_forms(tables, spark):
+    from postlake.plans.sql import run_sql_question
+    g, p, u = tables
+    register_views(p, g, u)
+    pairs = {
+        "category_counts_by_country": q.category_counts_by_country(g, p),
+        "top_category_by_country": q.top_category_by_country(g, p),
+        "posts_per_category_year": q.posts_per_category_year(g, p),
+        "top_category_by_year": q.top_category_by_year(g, p),
+        "top_user_by_country": q.top_user_by_country(g, p, u),
+        "top_country_by_followers": q.top_country_by_followers(g, p, u),
+        "top_category_by_age_group": q.top_category_by_age_group(u, p),
+    }
+    for name, df in pairs.items():
+        a = sorted((tuple(r) for r in df.collect()), key=repr)
+        b = sorted((tuple(r) for r in run_sql_question(spark, name).select(*df.columns).collect()), key=repr)
+        assert a == b, name
