@@ -16,7 +16,7 @@ from postlake.functions.text import _col
 # A plain decimal number: digits with an optional fraction, or a bare fraction
 # (a lone "." reads as 0, as the non-ANSI cast has it).
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)\s*$"
-INTEGER_PART = r"^\s*([+-]?[0-9]*)"
+INTEGER_PART = r"^\s*([+-]?[0-9]+)"
 # The same number with an optional follower-count suffix.
 SCALED_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)[kM]?\s*$"
 
@@ -25,11 +25,16 @@ SUFFIX_ZEROS = {"k": "000", "M": "000000"}
 
 
 def tolerant_int(c) -> Column:
-    """Text to int: NULL for non-numbers and overflow, fraction truncated."""
+    """Text to int: NULL for non-numbers and overflow, fraction truncated.
+
+    Plain integers take the fast path (``try_cast``, no regular expression);
+    only the rest is matched against the number pattern.  Every
+    sub-expression is used once, so nothing is evaluated twice per row.
+    """
     c = _col(c)
-    whole = F.regexp_extract(c, INTEGER_PART, 1)
-    as_int = F.when(whole.rlike("[0-9]"), whole.try_cast("int")).otherwise(F.lit(0))
-    return F.when(c.rlike(NUMBER_PATTERN), as_int).cast("int")
+    whole = F.regexp_extract(c, INTEGER_PART, 1)  # '' when no digit precedes the point
+    truncated = F.coalesce(F.nullif(whole, F.lit("")), F.lit("0")).try_cast("int")
+    return F.coalesce(c.try_cast("int"), F.when(c.rlike(NUMBER_PATTERN), truncated))
 
 
 def expand_suffix(c) -> Column:

@@ -20,6 +20,33 @@ ADAPTIVE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 shuffle_fraction: float = 0.05, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    The questions shuffle narrow per-key summaries (a key plus one or two
+    columns), a few percent of the input bytes, so shuffle partitions start at
+    about one per ``target_partition_bytes`` of that (at least two waves of
+    tasks, at most ``max_partitions`` to keep map-output bookkeeping small).
+    AQE coalesces them to the advisory size at run time and splits skewed
+    join partitions.  Scan splits stay at the same size so a task's share
+    fits comfortably in executor memory.
+    """
+    slots = executors * cores_per_executor
+    wanted = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    partitions = min(max(2 * slots, wanted), max_partitions)
+    return {
+        **ADAPTIVE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "postlake", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench (``local[cores]``, UI off)."""

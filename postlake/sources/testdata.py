@@ -29,9 +29,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism when its scan has fewer
+    splits than that (a small file stored as one row group).  Large inputs
+    already have enough splits and are left alone, so no shuffle is added at
+    scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(k, ck, cat, d, c_name, n_name)`` with every 50th key doubled."""
-    orders = _table(spark, sf_dir, "orders").select(
+    orders = spread(_table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("ck"),
         F.col("o_orderpriority").alias("cat"), F.col("o_orderdate").alias("d"))
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")

@@ -112,3 +112,12 @@ def test_tolerant_int_equals_the_non_ansi_cast(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
     mine = {r.x: r.y for r in df.select("x", tolerant_int("x").alias("y")).collect()}
     assert {k: (legacy[k], mine[k]) for k in legacy if legacy[k] != mine[k]} == {}
+
+
+def test_cluster_conf_sizes_partitions():
+    from postlake.session import cluster_conf
+    big = cluster_conf(100 * 2**40, executors=1000)
+    assert 8000 <= int(big["spark.sql.shuffle.partitions"]) <= 100_000
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_conf(10 * 2**20, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
