@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, ShortType
 
+from postlake.session import checkpoint_root
+
 _SHIFT = 16
 
 
@@ -45,15 +47,25 @@ def _pick(hist: DataFrame, group_cols: list[str], order_col: str, weight: str, n
 
 
 def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
-                          weight: str, out: str) -> DataFrame:
+                          weight: str, out: str, materialize: bool = True) -> DataFrame:
     """``(group…, out)`` for every group of ``weights``; ``out`` is NULL when a
-    group has no non-NULL value (as SQL aggregates do)."""
+    group has no non-NULL value (as SQL aggregates do).
+
+    Both passes and the group list read the weights.  With ``materialize``
+    they are written once with a reliable ``checkpoint()`` (under
+    ``spark.checkpoint.dir``), which cuts the lineage so the upstream join
+    and aggregation run once; the weights hold one row per distinct (group,
+    value), so the write is small.  This runs a job when called.
+    """
     vtype = weights.schema[value].dataType
     if not isinstance(vtype, (IntegerType, ShortType, ByteType)):
         raise TypeError(f"weighted_lower_median needs an integer column of at most 32 bits, got {vtype}")
     g = list(group_cols)
     rows = (weights.where(F.col(weight) > 0)
                    .select(*g, F.col(value).cast("long").alias("_v"), F.col(weight).cast("long").alias("_w")))
+    if materialize:
+        checkpoint_root(rows.sparkSession)
+        rows = rows.checkpoint(eager=True)
     bucket = F.shiftright(F.col("_v"), _SHIFT)
 
     # Pass 1: bucket histogram (NULL values form a NULL bucket that only
@@ -80,6 +92,6 @@ def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
 
 
 def median_per_group(weights: DataFrame, group_cols: list[str], value: str, weight: str,
-                     out: str) -> DataFrame:
+                     out: str, materialize: bool = True) -> DataFrame:
     """Alias of :func:`weighted_lower_median` kept for readability at call sites."""
-    return weighted_lower_median(weights, group_cols, value, weight, out)
+    return weighted_lower_median(weights, group_cols, value, weight, out, materialize)
