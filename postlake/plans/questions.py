@@ -102,14 +102,17 @@ def top_category_by_year(g: DataFrame, p: DataFrame, lo: int = 2018, hi: int = 2
 # ---------------------------------------------------------------- most-followed user
 
 def _best_user_per_ind(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
-    """One candidate per (ind, country): the best joined row for that key.
+    """Candidates: each geo row with the best post × user pair of its ``ind``.
 
     Among all post × user rows of one ``ind`` the winner under
     (follower_count desc, user_name asc) is the largest follower count of its
     posts with the smallest name of its users, so per-key max / min give the
-    same answer as ranking the full join.
+    same answer as ranking the full join.  Posts and users shrink to one row
+    per ``ind`` (already partitioned on ``ind`` for the join); geo rows join
+    as they are, since a repeated (ind, country) row cannot change a top-1
+    answer, so a hot key costs its geo rows, not a product of row counts.
     """
-    places = g.where(F.col(KEY).isNotNull()).select(KEY, "country").distinct()
+    places = g.where(F.col(KEY).isNotNull()).select(KEY, "country")
     followers = p.groupBy(KEY).agg(F.max("follower_count").alias("follower_count"))
     names = u.groupBy(KEY).agg(F.min("user_name").alias("user_name"))
     return places.join(followers, KEY, "inner").join(names, KEY, "inner")

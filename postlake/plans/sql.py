@@ -62,7 +62,7 @@ WHERE rn = 1"""
 
 def top_user_by_country() -> str:
     return """
-WITH places AS (SELECT DISTINCT ind, country FROM countries WHERE ind IS NOT NULL),
+WITH places AS (SELECT ind, country FROM countries WHERE ind IS NOT NULL),
      followers AS (SELECT ind, max(follower_count) AS follower_count FROM posts GROUP BY ind),
      names AS (SELECT ind, min(user_name) AS user_name FROM users GROUP BY ind),
      ranked AS (
