@@ -187,3 +187,16 @@ for _name in ("category_counts_by_country", "top_category_by_country", "posts_pe
               "top_category_by_year", "top_user_by_country", "top_country_by_followers",
               "top_category_by_age_group"):
     ORACLE[f"sql_{_name}"] = ORACLE[_name]
+
+
+def _json_record(table: str, cols: list[str]) -> str:
+    """One JSON object per row, NULL fields left out (as Spark's ``to_json``)."""
+    fields = ", ".join(f"""CASE WHEN "{c}" IS NOT NULL THEN '"{c}":' || to_json("{c}") END""" for c in cols)
+    return _with(f"SELECT '{{' || concat_ws(',', {fields}) || '}}' AS value FROM {table}", RAW_CTES)
+
+
+ORACLE["records_out_posts"] = _json_record("raw_posts", [
+    "index", "unique_id", "title", "description", "poster_name", "follower_count", "tag_list",
+    "is_image_or_video", "image_src", "downloaded", "save_location", "category"])
+ORACLE["records_out_geo"] = _json_record("raw_geo", ["ind", "timestamp", "latitude", "longitude", "country"])
+ORACLE["records_out_users"] = _json_record("raw_users", ["ind", "first_name", "last_name", "age", "date_joined"])
