@@ -2,7 +2,7 @@
 
 Builds the lake once (timed as ``ingest_lake``: derive raw records, clean,
 write Parquet), then times every headline query warm: one warm-up run, then
-the median of three runs into the ``noop`` sink.  Prints one JSON line.
+the median of five runs (``BENCH_RUNS``) into the ``noop`` sink.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     keys = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=2 * cpus, app_name="postlake-bench")
 

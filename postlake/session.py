@@ -56,6 +56,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # remove reliable checkpoints (median weights) once their DataFrames are gone
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("POSTLAKE_DRIVER_MEMORY", "8g")))
     for k, v in {**ADAPTIVE_CONF, **(extra or {})}.items():
