@@ -16,7 +16,7 @@ from postlake.plans.registry import QUERIES  # noqa: E402
 from postlake.session import local_session  # noqa: E402
 
 KEYS = ["clean_posts", "category_counts_by_country", "posts_per_category_year", "top_user_by_country",
-        "median_followers_by_age_group", "stream_posts"]
+        "category_counts_by_age_group", "median_followers_by_age_group", "stream_posts"]
 
 
 def main() -> None:
