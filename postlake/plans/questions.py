@@ -102,28 +102,28 @@ def top_category_by_year(g: DataFrame, p: DataFrame, lo: int = 2018, hi: int = 2
 
 # ---------------------------------------------------------------- most-followed user
 
-def _best_user_per_ind(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
-    """Candidates: each geo row with the best post × user pair of its ``ind``.
-
-    Among all post × user rows of one ``ind`` the winner under
-    (follower_count desc, user_name asc) is the largest follower count of its
-    posts with the smallest name of its users, so per-key max / min give the
-    same answer as ranking the full join.  Posts and users shrink to one row
-    per ``ind`` (already partitioned on ``ind`` for the join); geo rows join
-    as they are, since a repeated (ind, country) row cannot change a top-1
-    answer, so a hot key costs its geo rows, not a product of row counts.
+def top_user_by_country(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
+    """User with the most followers in each country: country, user_name, follower_count.
+
+    Ranks the geo ⋈ posts ⋈ users rows by (follower_count desc, ind, user_name)
+    without building that join.  Within one ``ind`` the best row pairs the
+    largest follower count of its posts with the smallest name of its users,
+    so: posts shrink to ``max(follower_count)`` per ``ind``; geo rows join as
+    they are (a repeated (ind, country) row cannot change a top-1 answer);
+    a semi join on users' ``ind`` keeps the inner-join semantics; the winning
+    ``ind`` of each country is picked with a partial ``WindowGroupLimit``; and
+    only the winners' users are read for the name, through a join with the
+    small winners table (AQE broadcasts it when its runtime size allows).
+    A hot key costs its geo rows, never a product of row counts, and no
+    string aggregate runs over the whole users table.
     """
     places = g.where(F.col(KEY).isNotNull()).select(KEY, "country")
     followers = p.groupBy(KEY).agg(F.max("follower_count").alias("follower_count"))
-    names = u.groupBy(KEY).agg(F.min("user_name").alias("user_name"))
-    return places.join(followers, KEY, "inner").join(names, KEY, "inner")
-
-
-def top_user_by_country(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
-    """User with the most followers in each country: country, user_name, follower_count."""
-    cands = _best_user_per_ind(g, p, u)
-    top = top_n_per_group(cands, ["country"],
-                          [F.desc_nulls_last("follower_count"), F.asc(KEY), F.asc("user_name")])
+    present = u.where(F.col(KEY).isNotNull()).select(KEY)
+    cands = places.join(followers, KEY, "inner").join(present, KEY, "left_semi")
+    winners = top_n_per_group(cands, ["country"], [F.desc_nulls_last("follower_count"), F.asc(KEY)])
+    named = winners.join(u.select(KEY, "user_name"), KEY, "inner")
+    top = top_n_per_group(named, ["country"], [F.asc("user_name")])
     return top.select("country", "user_name", "follower_count")
 
 

@@ -64,13 +64,19 @@ def top_user_by_country() -> str:
     return """
 WITH places AS (SELECT ind, country FROM countries WHERE ind IS NOT NULL),
      followers AS (SELECT ind, max(follower_count) AS follower_count FROM posts GROUP BY ind),
-     names AS (SELECT ind, min(user_name) AS user_name FROM users GROUP BY ind),
-     ranked AS (
-       SELECT country, user_name, follower_count,
-              row_number() OVER (PARTITION BY country
-                                 ORDER BY follower_count DESC NULLS LAST, ind, user_name) AS rn
-       FROM places JOIN followers USING (ind) JOIN names USING (ind))
-SELECT country, user_name, follower_count FROM ranked WHERE rn = 1"""
+     cands AS (SELECT * FROM places JOIN followers USING (ind)
+               WHERE ind IN (SELECT ind FROM users WHERE ind IS NOT NULL)),
+     winners AS (
+       SELECT country, ind, follower_count FROM (
+         SELECT *, row_number() OVER (PARTITION BY country
+                                      ORDER BY follower_count DESC NULLS LAST, ind) AS rn
+         FROM cands) ranked
+       WHERE rn = 1),
+     named AS (
+       SELECT w.country, u.user_name, w.follower_count,
+              row_number() OVER (PARTITION BY w.country ORDER BY u.user_name) AS rn
+       FROM winners w JOIN users u ON w.ind = u.ind)
+SELECT country, user_name, follower_count FROM named WHERE rn = 1"""
 
 
 def top_country_by_followers() -> str:
