@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,24 +32,29 @@ class Lake:
         digest = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
         self.root = scratch_path(spark, "lake", digest)
         self._clean: dict[str, DataFrame] = {}
-        self._lock = threading.Lock()
+        self._locks = {name: threading.Lock() for name in TABLES}
 
     def raw(self, name: str) -> DataFrame:
         return raw_table(self.spark, self.sf_dir, name)
 
     def clean(self, name: str) -> DataFrame:
-        with self._lock:
+        return self._build_one(name)
+
+    def build(self) -> "Lake":
+        """Write all clean tables; the three jobs are independent and run
+        concurrently, sharing the cluster's slots."""
+        with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+            list(pool.map(self._build_one, TABLES))
+        return self
+
+    def _build_one(self, name: str) -> DataFrame:
+        with self._locks[name]:
             if name not in self._clean:
                 path = f"{self.root}/{name}"
                 CLEANERS[name](self.raw(name)).write.mode("overwrite").parquet(path)
                 self._clean[name] = self.spark.read.parquet(path)
             return self._clean[name]
 
-    def build(self) -> "Lake":
-        for name in TABLES:
-            self.clean(name)
-        return self
-
     @property
     def posts(self) -> DataFrame:
         return self.clean("posts")
