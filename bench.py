@@ -3,15 +3,20 @@
 Builds the lake once (timed as ``ingest_lake``: derive raw records, clean,
 write Parquet), then times every headline query warm: one warm-up run, then
 the median of five runs (``BENCH_RUNS``) into the ``noop`` sink.  Prints one JSON line.
+Spark's event log (written to a fresh local scratch folder; the UI stays off)
+gives the completed stages and shuffle bytes written per run of each query.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -52,6 +57,35 @@ def _hot(df):
     return df.withColumn("ind", F.when(F.col("ind") % 3 == 0, F.lit(0)).otherwise(F.col("ind")))
 
 
+def stage_summary(event_dir: str, runs_per_key: int, labels: set[str]) -> dict:
+    """Per query label: completed stages and shuffle bytes written per run,
+    read from Spark's event log (jobs of other descriptions are skipped)."""
+    job_key, stage_key = {}, {}
+    stages, shuffle = defaultdict(int), defaultdict(int)
+    for path in glob.glob(f"{event_dir}/**/events_*", recursive=True) + glob.glob(f"{event_dir}/*.inprogress") \
+            + [p for p in glob.glob(f"{event_dir}/*") if os.path.isfile(p)]:
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    key = (ev.get("Properties") or {}).get("spark.job.description")
+                    if key in labels:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_key[sid] = key
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    key = stage_key.get(info["Stage ID"])
+                    if key is None:
+                        continue
+                    stages[key] += 1
+                    for acc in info.get("Accumulables", []):
+                        if acc.get("Name") == "internal.metrics.shuffle.write.bytesWritten":
+                            shuffle[key] += int(acc.get("Value", 0))
+    return {k: {"stages": round(stages[k] / runs_per_key, 1),
+                "shuffle_write_bytes": int(shuffle[k] / runs_per_key)} for k in stages}
+
+
 def timed(fn) -> float:
     t0 = time.perf_counter()
     fn()
@@ -63,10 +97,14 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     keys = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=2 * cpus, app_name="postlake-bench")
+    event_dir = tempfile.mkdtemp(prefix="postlake-bench-events-")  # local bench only
+    spark = local_session(cpus, shuffle_partitions=2 * cpus, app_name="postlake-bench",
+                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+                                 "spark.eventLog.compress": "false"})
 
     results = {"ingest_lake": round(timed(lambda: lake(spark, sf_dir).build()), 3)}
     for key in keys:
+        spark.sparkContext.setJobDescription(key)
         run = lambda: QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         run()  # warm-up
         results[key] = round(statistics.median(timed(run) for _ in range(runs)), 3)
@@ -76,14 +114,18 @@ def main() -> None:
         lk = lake(spark, sf_dir)
         g, p, u = _hot(lk.geo), _hot(lk.posts), _hot(lk.users)
         for key, fn in SKEWED.items():
+            spark.sparkContext.setJobDescription(f"skew:{key}")
             run = lambda: fn(g, p, u).write.format("noop").mode("overwrite").save()
             run()
             skew[key] = round(statistics.median(timed(run) for _ in range(runs)), 3)
+    spark.sparkContext.setJobDescription(None)
+    spark.stop()
+    plan_stats = stage_summary(event_dir, runs + 1, set(keys) | {f"skew:{k}" for k in skew})
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",
                       "queries": results, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "runs": runs, "skew_one_key_third_of_rows": skew}))
-    spark.stop()
+                      "cpus": cpus, "runs": runs, "skew_one_key_third_of_rows": skew,
+                      "per_run_stages_and_shuffle": plan_stats}))
 
 
 if __name__ == "__main__":
