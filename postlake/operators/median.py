@@ -68,15 +68,17 @@ def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
         rows = rows.checkpoint(eager=True)
     bucket = F.shiftright(F.col("_v"), _SHIFT)
 
-    # Pass 1: bucket histogram (NULL values form a NULL bucket that only
-    # marks the group as present), group totals, and the bucket holding the
-    # target rank.
+    # Pass 1: bucket histogram, group totals, and the bucket holding the target
+    # rank.  NULL values form a NULL bucket that only marks the group as
+    # present: a group whose total is 0 has no value, and keeps a NULL median.
     hist = rows.groupBy(*g, bucket.alias("_b")).agg(F.sum("_w").alias("_bw"))
-    groups = hist.select(*g).distinct()
-    ranked = (hist.where(F.col("_b").isNotNull())
-                  .withColumn("_total", F.sum("_bw").over(Window.partitionBy(*g))))
+    valued = F.when(F.col("_b").isNotNull(), F.col("_bw"))
+    hist = hist.withColumn("_total", F.coalesce(F.sum(valued).over(Window.partitionBy(*g)), F.lit(0)))
+    empty = (hist.where(F.col("_b").isNull() & (F.col("_total") == 0))
+                 .select(*g, F.lit(None).cast(vtype).alias(out)))
     target = F.shiftright(F.col("_total") + 1, 1)  # ceil(total / 2)
-    chosen = (_pick(ranked.withColumn("_target", target), g, "_b", "_bw", F.col("_target"))
+    ranked = hist.where(F.col("_b").isNotNull()).withColumn("_target", target)
+    chosen = (_pick(ranked, g, "_b", "_bw", F.col("_target"))
               .select(*g, "_b", (F.col("_target") - F.col("_before")).alias("_need")))
 
     # Pass 2: exact values inside the chosen bucket only.
@@ -87,8 +89,7 @@ def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
     exact = narrowed.groupBy(*g, "_v", "_need").agg(F.sum("_w").alias("_vw"))
     found = _pick(exact, g, "_v", "_vw", F.col("_need")).select(
         *g, F.col("_v").cast(vtype).alias(out))
-    joined = groups.join(found, _null_safe_on(groups, found, g), "left")
-    return joined.select(*[groups[c] for c in g], found[out])
+    return found.unionByName(empty)
 
 
 def median_per_group(weights: DataFrame, group_cols: list[str], value: str, weight: str,
