@@ -17,14 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.operators.clean import CLEANERS
 from postlake.session import scratch_path
-from postlake.sources.testdata import raw_table
+from postlake.sources.testdata import RAW_BUILDERS, source_rows
 
 TABLES = ("posts", "geo", "users")
 
 
 class Lake:
-    """Raw tables (lazy, derived from the test data) and clean tables
-    (materialised on first use)."""
+    """The derived source rows (written once), raw tables (lazy projections
+    of them) and clean tables (materialised on first use).
+
+    The source rows come from one join of the test-data tables; writing them
+    once means the join and its shuffles run once, not once per raw table.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -33,9 +37,19 @@ class Lake:
         self.root = scratch_path(spark, "lake", digest)
         self._clean: dict[str, DataFrame] = {}
         self._locks = {name: threading.Lock() for name in TABLES}
+        self._source_lock = threading.Lock()
+        self._source: DataFrame | None = None
+
+    def source(self) -> DataFrame:
+        with self._source_lock:
+            if self._source is None:
+                path = f"{self.root}/source"
+                source_rows(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
+                self._source = self.spark.read.parquet(path)
+            return self._source
 
     def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.sf_dir, name)
+        return RAW_BUILDERS[name](self.source())
 
     def clean(self, name: str) -> DataFrame:
         return self._build_one(name)
@@ -43,6 +57,7 @@ class Lake:
     def build(self) -> "Lake":
         """Write all clean tables; the three jobs are independent and run
         concurrently, sharing the cluster's slots."""
+        self.source()
         with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
             list(pool.map(self._build_one, TABLES))
         return self
