@@ -4,12 +4,12 @@ materialising the join.
 The record tables are aligned by row offset, and offsets repeat, so an inner
 join multiplies rows: m geo rows × n post rows for one ``ind``.  A hot key that
 holds a large share of all rows would turn into a quadratic number of pairs in
-one task.  The helpers here first aggregate each side per (key, needed
-columns) — partial aggregation collapses a hot key inside every map task
-before anything is shuffled — and then join the small per-key summaries,
-multiplying the counts.  The result is exactly the ``count(*)`` over the full
-join, but the work grows with the number of distinct (key, value) pairs, not
-with the number of pairs in the join.
+one task.  The helpers here aggregate every side but one (the fact side) per
+(key, needed columns) — partial aggregation collapses a hot key inside every
+map task before anything is shuffled — and join those summaries with the fact
+rows, multiplying the counts.  The result is exactly the ``count(*)`` over the
+full join, but a key costs its fact rows times its distinct values on the
+summarised sides: linear, never quadratic.
 """
 
 from __future__ import annotations

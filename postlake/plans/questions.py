@@ -4,9 +4,10 @@
 source: lake tables, freshly cleaned batches, stream output).  Tables are
 aligned by row offset and joined on ``ind``; offsets repeat, so every count
 is a count of *join rows*, exactly as an inner join would give.  Counting and
-median questions never build the join itself: they join per-key summaries
-(:mod:`postlake.operators.joins`), so a hot key costs the number of its
-distinct values, not the square of its rows.
+median questions never join two raw sides: every side but posts is first
+summarised per key (:mod:`postlake.operators.joins`), so a hot key costs its
+post rows times its few distinct values on the other side, never the product
+of its row counts.
 
 Ties are broken explicitly so every answer is deterministic: categories by
 name, users by ``ind`` then name, countries by name.
