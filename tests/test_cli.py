@@ -1,0 +1,33 @@
+"""The command line's batch and stream modes on topic files derived from the
+test data."""
+
+from postlake.cli import QUESTIONS, answer, clean_topics, run_batch, run_streams
+from postlake.operators.decode import to_records
+from postlake.plans import questions as q
+from postlake.plans.lake import lake
+from postlake.sinks.files import write_topic
+
+
+def test_batch_mode_answers_every_question(spark, sf_small, tmp_path):
+    lk = lake(spark, sf_small)
+    root = str(tmp_path / "topics")
+    for kind in ("posts", "geo", "users"):
+        write_topic(lk.raw(kind), root, kind)
+    out = str(tmp_path / "answers")
+    assert run_batch(spark, root, out, 5) == list(QUESTIONS)
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{out}/top_category_by_country").collect())
+    assert got == sorted(tuple(r) for r in q.top_category_by_country(lk.geo, lk.posts).collect())
+    tables = clean_topics(spark, root)
+    assert answer(tables, "users_joined_by_year").count() == q.users_joined_by_year(lk.users).count()
+
+
+def test_stream_mode(spark, sf_small, tmp_path):
+    lk = lake(spark, sf_small)
+    sources = str(tmp_path / "src")
+    for kind in ("posts", "geo", "users"):
+        to_records(lk.raw(kind)).write.text(f"{sources}/{kind}")
+    tables, ckpts = str(tmp_path / "tables"), str(tmp_path / "ckpt")
+    for query in run_streams(spark, sources, tables, ckpts):
+        query.awaitTermination()
+    for kind, clean in (("posts", lk.posts), ("geo", lk.geo), ("users", lk.users)):
+        assert spark.read.parquet(f"{tables}/{kind}").count() == clean.count()
