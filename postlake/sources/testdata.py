@@ -29,13 +29,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# A single-split input is small (one file, one row group); more than this many
+# pieces would only make tiny tasks that AQE cannot merge back.
+SPREAD_MAX = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism when its scan has fewer
-    splits than that (a small file stored as one row group).  Large inputs
-    already have enough splits and are left alone, so no shuffle is added at
-    scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    """Round-robin ``df`` over the default parallelism (at most ``SPREAD_MAX``
+    pieces) when its scan has fewer splits than that, as a small file stored
+    as one row group does.  Large inputs already have enough splits and are
+    left alone, so no shuffle is added at scale."""
+    target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX)
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
