@@ -14,9 +14,6 @@ from pyspark.sql import SparkSession
 ADAPTIVE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # coalesce to the advisory size, not to the default parallelism: fewer,
-    # fuller tasks for the many small post-aggregation stages
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -42,6 +39,9 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
     return {
         **ADAPTIVE_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
+        # on a shared cluster, coalesce to the advisory size rather than to the
+        # default parallelism: fewer, fuller tasks for small post-aggregation stages
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
