@@ -1,7 +1,6 @@
 """The driver contract at sf0.001: every key runs and equals its DuckDB oracle."""
 
 import datetime as dt
-import math
 from collections import Counter
 
 import duckdb

@@ -5,7 +5,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from postlake.functions import age_group_sql
 from postlake.plans import questions as q
