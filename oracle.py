@@ -68,8 +68,9 @@ def _expand(x: str) -> str:
 
 def _scaled(x: str) -> str:
     places = rf"CASE regexp_extract({x}, '([A-Za-z])\s*$', 1) WHEN 'k' THEN 3 WHEN 'M' THEN 6 ELSE 0 END"
-    shifted = (rf"(regexp_extract({x}, '^\s*([+-]?)', 1) || regexp_extract({x}, '^\s*[+-]?([0-9]*)', 1) || "
-               rf"rpad(regexp_extract({x}, '\.([0-9]*)', 1), {places}, '0'))")
+    digits = (rf"(regexp_extract({x}, '^\s*[+-]?([0-9]*)', 1) || "
+              rf"rpad(regexp_extract({x}, '\.([0-9]*)', 1), {places}, '0'))")
+    shifted = rf"(regexp_extract({x}, '^\s*([+-]?)', 1) || CASE WHEN {digits} = '' THEN '0' ELSE {digits} END)"
     return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)[kM]?\s*$') "
             rf"THEN {_tolerant_int(shifted)} END")
 

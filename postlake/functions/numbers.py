@@ -75,5 +75,6 @@ def parse_follower_count_scaled(c) -> Column:
     places = F.lit(0)
     for letter, zeros in SUFFIX_ZEROS.items():
         places = F.when(suffix == letter, F.lit(len(zeros))).otherwise(places)
-    shifted = F.concat(sign, whole, F.rpad(fraction, places, F.lit("0")))
+    digits = F.concat(whole, F.rpad(fraction, places, F.lit("0")))
+    shifted = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
     return F.when(valid, tolerant_int(shifted))

@@ -121,3 +121,41 @@ def test_cluster_conf_sizes_partitions():
     assert big["spark.sql.adaptive.enabled"] == "true"
     small = cluster_conf(10 * 2**20, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def _scaled_model(text):
+    """Exact Python model of the scaled follower count."""
+    import re
+    from decimal import Decimal
+    if text is None:
+        return None
+    m = re.fullmatch(r"[ \t\n\r\f\v]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]*))([kM]?)[ \t\n\r\f\v]*", text)
+    if not m:
+        return None
+    number, suffix = m.groups()
+    digits = number.lstrip("+-")
+    if digits in ("", "."):
+        value = Decimal(0)
+    else:
+        value = Decimal(number if not number.endswith(".") else number + "0")
+        if digits.startswith("."):
+            value = Decimal(number.replace(".", "0.", 1))
+    value *= {"k": 1000, "M": 1000000, "": 1}[suffix]
+    whole = int(value)  # truncates toward zero
+    return whole if -2**31 <= whole < 2**31 else None
+
+
+def test_follower_count_scaled_equals_exact_decimal_model(spark):
+    import random
+    rng = random.Random(33)
+    pieces = ["", "+", "-", " "]
+    values = []
+    for _ in range(3000):
+        whole = "".join(rng.choice("0123456789") for _ in range(rng.randint(0, 11)))
+        frac = "".join(rng.choice("0123456789") for _ in range(rng.randint(0, 8)))
+        dot = rng.choice(["", ".", "."])
+        values.append(rng.choice(pieces) + whole + dot + frac + rng.choice(["", "k", "M", "K", "x"]) + rng.choice(["", " "]))
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = {r.x: r.y for r in df.select("x", parse_follower_count_scaled("x").alias("y")).collect()}
+    bad = {v: (got[v], _scaled_model(v)) for v in values if got[v] != _scaled_model(v)}
+    assert bad == {}
