@@ -159,3 +159,24 @@ def test_follower_count_scaled_equals_exact_decimal_model(spark):
     got = {r.x: r.y for r in df.select("x", parse_follower_count_scaled("x").alias("y")).collect()}
     bad = {v: (got[v], _scaled_model(v)) for v in values if got[v] != _scaled_model(v)}
     assert bad == {}
+
+
+def test_native_follower_count_equals_udf_rule_with_non_ansi_cast(spark):
+    """The default native path against the reference recipe: the Python text
+    rule, then Spark's cast to int with ANSI off."""
+    import random
+
+    from postlake.functions.udfs import standardise_follower_count
+    rng = random.Random(44)
+    alphabet = " +-.0123456789kMK"
+    values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    expanded = df.select("x", standardise_follower_count("x").alias("t")).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        reference = {r.x: r.y for r in spark.createDataFrame(expanded, "x string, t string")
+                     .select("x", F.col("t").cast("int").alias("y")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    native = {r.x: r.y for r in df.select("x", parse_follower_count("x").alias("y")).collect()}
+    assert {v: (native[v], reference[v]) for v in values if native[v] != reference[v]} == {}
