@@ -109,19 +109,22 @@ def top_user_by_country(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
     Ranks the geo ⋈ posts ⋈ users rows by (follower_count desc, ind, user_name)
     without building that join.  Within one ``ind`` the best row pairs the
     largest follower count of its posts with the smallest name of its users,
-    so: posts shrink to ``max(follower_count)`` per ``ind``; geo rows join as
-    they are (a repeated (ind, country) row cannot change a top-1 answer);
-    a semi join on users' ``ind`` keeps the inner-join semantics; the winning
-    ``ind`` of each country is picked with a partial ``WindowGroupLimit``; and
-    only the winners' users are read for the name, through a join with the
-    small winners table (AQE broadcasts it when its runtime size allows).
-    A hot key costs its geo rows, never a product of row counts, and no
-    string aggregate runs over the whole users table.
+    and repeated rows cannot change a top-1 answer, so every side shrinks to
+    per-key rows first: geo to distinct (ind, country) — map-side partial
+    aggregation collapses a hot key to its few countries before any shuffle —
+    posts to ``max(follower_count)`` per ``ind``, users to the set of keys
+    present (keeping the inner-join meaning).  The winning ``ind`` of each
+    country comes from a partial ``WindowGroupLimit``, and only the winners'
+    users are read for the name, through a join with the small winners table
+    (AQE broadcasts it when its runtime size allows, and splits a hot key's
+    users otherwise).  No join sees more than a few rows per key on its
+    summarised side, and no string aggregate runs over the whole users table.
     """
-    places = g.where(F.col(KEY).isNotNull()).select(KEY, "country")
+    places = g.where(F.col(KEY).isNotNull()).select(KEY, "country").distinct()
     followers = p.groupBy(KEY).agg(F.max("follower_count").alias("follower_count"))
-    present = u.where(F.col(KEY).isNotNull()).select(KEY)
-    cands = places.join(followers, KEY, "inner").join(present, KEY, "left_semi")
+    present = u.where(F.col(KEY).isNotNull()).select(KEY).distinct()
+    best = followers.join(present, KEY, "left_semi")  # one row per key
+    cands = places.join(best, KEY, "inner")
     winners = top_n_per_group(cands, ["country"], [F.desc_nulls_last("follower_count"), F.asc(KEY)])
     named = winners.join(u.select(KEY, "user_name"), KEY, "inner")
     top = top_n_per_group(named, ["country"], [F.asc("user_name")])

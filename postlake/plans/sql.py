@@ -62,10 +62,11 @@ WHERE rn = 1"""
 
 def top_user_by_country() -> str:
     return """
-WITH places AS (SELECT ind, country FROM countries WHERE ind IS NOT NULL),
+WITH places AS (SELECT DISTINCT ind, country FROM countries WHERE ind IS NOT NULL),
      followers AS (SELECT ind, max(follower_count) AS follower_count FROM posts GROUP BY ind),
+     present AS (SELECT DISTINCT ind FROM users WHERE ind IS NOT NULL),
      cands AS (SELECT * FROM places JOIN followers USING (ind)
-               WHERE ind IN (SELECT ind FROM users WHERE ind IS NOT NULL)),
+               WHERE ind IN (SELECT ind FROM present)),
      winners AS (
        SELECT country, ind, follower_count FROM (
          SELECT *, row_number() OVER (PARTITION BY country

@@ -68,3 +68,28 @@ def test_count_join_never_materialises_pairs(skewed):
     # the geo side is summarised per (ind, country) before the join; posts join row by row,
     # so a key costs its post rows times its distinct countries, never rows x rows
     assert len(re.findall(r"Aggregate \[ind#\d+L, country#\d+\]", plan)) == 1
+
+
+def test_aqe_splits_the_hot_key_in_the_count_join(spark):
+    """Without broadcasts, the posts rows of the hot key are split across tasks
+    (sf0.01: enough map outputs for the hot partition to be split)."""
+    lk = lake(spark, "/root/testdata/sf0.01")
+    g, p = skew(lk.geo, 3), skew(lk.posts, 3)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = q.category_counts_by_country(g, p)
+        df.collect()
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
