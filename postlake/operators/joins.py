@@ -57,24 +57,3 @@ def joined_counts(sides: list[tuple[DataFrame, list[str]]], key: str, out: str =
     names = group_cols if group_cols is not None else [c for _, cols in sides for c in cols]
     return joined.groupBy(*names).agg(F.sum(product).alias(out))
 
-
-def joined_counts_by_label(labelled: DataFrame, label: Column, labels: list[str], label_name: str,
-                           fact: DataFrame, fact_cols: list[str], key: str, out: str = "n") -> DataFrame:
-    """``count(*)`` of ``labelled ⋈ fact ON key`` grouped by (label, fact columns),
-    for a label with a fixed, known set of values (such as age bands).
-
-    The labelled side becomes one row per key with one count column per
-    label: a single aggregation on ``key`` alone, with map-side partial
-    counts, whose output is already hash-partitioned for the join.  The fact
-    side is shuffled once, on ``key``.  After the join the counts are
-    unpivoted (zero counts dropped) and aggregated map-side straight away.
-    Exact, and a hot key costs its fact rows times the number of labels.
-    """
-    counts = [F.count(F.when(label == F.lit(value), F.lit(1))).alias(f"_l{i}") for i, value in enumerate(labels)]
-    summary = labelled.where(F.col(key).isNotNull()).groupBy(key).agg(*counts)
-    rows = fact.where(F.col(key).isNotNull()).select(key, *fact_cols)
-    joined = summary.join(rows, key, "inner")
-    pairs = F.array(*[F.struct(F.lit(value).alias(label_name), F.col(f"_l{i}").alias("_w"))
-                      for i, value in enumerate(labels)])
-    unpivoted = joined.select(*fact_cols, F.inline(pairs)).where(F.col("_w") > 0)
-    return unpivoted.groupBy(label_name, *fact_cols).agg(F.sum("_w").alias(out))

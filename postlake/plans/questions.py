@@ -19,8 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions import age_group
-from postlake.functions.bands import AGE_BANDS, AGE_OTHER
-from postlake.operators.joins import joined_counts, joined_counts_by_label
+from postlake.operators.joins import joined_counts
 from postlake.operators.median import median_per_group
 from postlake.operators.topk import top_n_per_group
 
@@ -145,13 +144,10 @@ def age_bands(u: DataFrame) -> DataFrame:
     return u.select(KEY, "age", age_group("age").alias("age_group"))
 
 
-AGE_LABELS = [label for _, _, label in AGE_BANDS] + [AGE_OTHER]
-
-
 def _banded_counts(u: DataFrame, p: DataFrame, fact_cols: list[str], out: str) -> DataFrame:
-    """count(*) of users ⋈ posts per (age band, fact columns); the band set
-    is fixed, so users summarise per ``ind`` alone (one shuffle)."""
-    return joined_counts_by_label(u, age_group("age"), AGE_LABELS, "age_group", p, fact_cols, KEY, out)
+    """count(*) of users ⋈ posts per (age band, fact columns)."""
+    bands = u.select(KEY, age_group("age").alias("age_group"))
+    return joined_counts([(bands, ["age_group"]), (p, fact_cols)], KEY, out)
 
 
 def category_counts_by_age_group(u: DataFrame, p: DataFrame) -> DataFrame:

@@ -84,9 +84,11 @@ def test_aqe_splits_the_hot_key_in_the_count_join(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = q.category_counts_by_country(g, p)
-        df.collect()
-        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+        u = skew(lk.users, 3)
+        for df in (q.category_counts_by_country(g, p), q.category_counts_by_age_group(u, p),
+                   q.posts_per_category_year(g, p)):
+            df.collect()
+            assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             if v is None:
