@@ -111,8 +111,9 @@ def top_user_by_country(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
     and repeated rows cannot change a top-1 answer, so every side shrinks to
     per-key rows first: geo to distinct (ind, country) — map-side partial
     aggregation collapses a hot key to its few countries before any shuffle —
-    posts to ``max(follower_count)`` per ``ind``, users to the set of keys
-    present (keeping the inner-join meaning).  The winning ``ind`` of each
+    and posts and users, in one aggregation over their union, to
+    ``max(follower_count)`` per ``ind`` for keys present in both (keeping the
+    inner-join meaning).  The winning ``ind`` of each
     country comes from a partial ``WindowGroupLimit``, and only the winners'
     users are read for the name, through a join with the small winners table
     (AQE broadcasts it when its runtime size allows, and splits a hot key's
@@ -120,9 +121,16 @@ def top_user_by_country(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
     summarised side, and no string aggregate runs over the whole users table.
     """
     places = g.where(F.col(KEY).isNotNull()).select(KEY, "country").distinct()
-    followers = p.groupBy(KEY).agg(F.max("follower_count").alias("follower_count"))
-    present = u.where(F.col(KEY).isNotNull()).select(KEY).distinct()
-    best = followers.join(present, KEY, "left_semi")  # one row per key
+    # posts and users in one aggregation on ind: the best follower count and
+    # whether the key has a post and a user row (one shuffle, map-side combine)
+    tagged = (p.select(KEY, "follower_count", F.lit(True).alias("_post"), F.lit(False).alias("_user"))
+               .unionByName(u.select(KEY, F.lit(None).cast("int").alias("follower_count"),
+                                     F.lit(False).alias("_post"), F.lit(True).alias("_user"))))
+    best = (tagged.where(F.col(KEY).isNotNull()).groupBy(KEY)
+                  .agg(F.max("follower_count").alias("follower_count"),
+                       F.bool_or("_post").alias("_post"), F.bool_or("_user").alias("_user"))
+                  .where(F.col("_post") & F.col("_user"))
+                  .select(KEY, "follower_count"))  # one row per key present in both
     cands = places.join(best, KEY, "inner")
     winners = top_n_per_group(cands, ["country"], [F.desc_nulls_last("follower_count"), F.asc(KEY)])
     named = winners.join(u.select(KEY, "user_name"), KEY, "inner")
