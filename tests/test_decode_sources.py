@@ -84,3 +84,15 @@ def test_register_views(spark):
 def test_read_jdbc_needs_bounds(spark):
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none", "t", column="ind")
+
+
+def test_spread_only_touches_single_split_inputs(spark, tmp_path):
+    from postlake.sources.testdata import spread
+    one = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    small = spark.read.parquet(one)
+    assert small.rdd.getNumPartitions() == 1
+    target = min(spark.sparkContext.defaultParallelism, 64)
+    assert spread(small).rdd.getNumPartitions() == target
+    many = spark.range(0, 1000, numPartitions=target + 3)
+    assert spread(many) is many
