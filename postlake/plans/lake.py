@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from postlake.operators.clean import CLEANERS
+from postlake.operators.decode import to_records
 from postlake.session import scratch_path
 from postlake.sources.testdata import RAW_BUILDERS, source_rows
 
@@ -45,6 +46,7 @@ class Lake:
         self._locks = {name: threading.Lock() for name in TABLES}
         self._source_lock = threading.Lock()
         self._source: DataFrame | None = None
+        self._records: dict[str, str] = {}
 
     def source(self) -> DataFrame:
         with self._source_lock:
@@ -57,6 +59,16 @@ class Lake:
     def raw(self, name: str) -> DataFrame:
         return RAW_BUILDERS[name](self.source())
 
+    def records(self, name: str) -> str:
+        """Folder of JSON-record text files for ``name`` (a stream's input),
+        written once."""
+        with self._locks[name]:
+            if name not in self._records:
+                path = f"{self.root}/records/{name}"
+                to_records(self.raw(name)).write.mode("overwrite").text(path)
+                self._records[name] = path
+            return self._records[name]
+
     def clean(self, name: str) -> DataFrame:
         return self._build_one(name)
 

@@ -111,10 +111,10 @@ def _envelope_data(spark, sf_dir):
 
 def _stream(kind) -> Query:
     def run(spark, sf_dir):
+        source = lake(spark, sf_dir).records(kind)  # the stream's input, written once
         base = scratch_path(spark, "streams", kind, unique=True)
-        to_records(_raw(spark, sf_dir, kind)).write.text(f"{base}/source")
         table = f"stream_{kind}_{base.rsplit('-', 1)[-1]}"
-        query = start_clean_stream(spark, kind, f"{base}/source", table,
+        query = start_clean_stream(spark, kind, source, table,
                                    f"{base}/checkpoint", path=f"{base}/table")
         query.awaitTermination()
         if query.exception() is not None:
