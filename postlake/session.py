@@ -71,10 +71,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a shared file system or object store);
-    only a local-mode session gets a fresh temporary folder when it is unset.
+    only a local-mode session gets a temporary folder when it is unset, and
+    later calls return that same folder.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")

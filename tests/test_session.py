@@ -54,6 +54,7 @@ def test_local_session_without_setting_gets_a_temporary_folder():
     s = _Session("local[2]", {})
     root = checkpoint_root(s)
     assert root and s.sparkContext.dir == root
+    assert checkpoint_root(s) == root  # remembered, not a fresh folder per call
 
 
 def test_real_session_uses_its_setting(spark):
