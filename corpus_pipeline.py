@@ -8,13 +8,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, line_dedup, simhash
+from postlake.llm import decontaminate, langid, line_dedup, mixing, simhash
 from postlake.llm.common import table, text_key
 from postlake.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known with a score of 0.5 or more.  Learnt
+    from the labelled documents that are not held out."""
+    model = langid.fit(docs.where(~langid.held_out(docs["doc_id"])))
+    return langid.predict(docs, model, min_score=0.5).select(*docs.columns)
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that three documents or more share; ``n_chars``
     follows the text.  A NULL text stays NULL."""
@@ -40,10 +47,24 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return marked.where("n_hit = 0").select(*docs.columns)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, numbered by ``copy``; those
+    with no copy go."""
+    plan = mixing.mix(docs).where("copies > 0") \
+        .groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("size").alias("__size")) \
+        .agg(F.sum("copies").cast("int").alias("__copies"))
+    # repeated rows share a key: each key is written as often as its rows together have copies
+    own = docs.withColumn("__own", text_key(docs["text"])).dropDuplicates(["doc_id", "__own"])
+    taken = own.join(plan, own["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__row")))
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("copy"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_stage),
     ("line_dedup", line_dedup_stage),
     ("near_dedup", near_dedup_stage),
     ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
 ]
 
 #: Language identification and entropy balancing are not SQL.

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, line_dedup, simhash
+from postlake.llm import decontaminate, langid, line_dedup, mixing, simhash
 from postlake.llm.common import table
 
 
@@ -18,12 +18,27 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the rows not held out, predicts all."""
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(docs["doc_id"])
+    model = langid.fit(docs.where(~held))
+    out = langid.predict(docs, model, keep=["doc_id"])
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points or more in three documents or more."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 3, 1, 2 in turn, 150 % of all words, two copies at most."""
+    out = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_copies=2)
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of ten words of the benchmark items."""
     out = decontaminate.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
@@ -35,7 +50,9 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_entropy_balancing": op9_entropy_balancing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
