@@ -25,7 +25,7 @@ def line_key(line: Column) -> Column:
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row per line whose key is long enough: id, row, pos, h1, h2, n."""
-    line = docs.select("id", "row", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    line = docs.select("id", "row", F.posexplode("lines").alias("pos", "line"))
     key = line.select("id", "row", "pos", line_key(F.col("line")).alias("key")) \
         .where(F.length("key") >= min_chars)
     # two hashes with different seeds, 128 bits together
@@ -49,7 +49,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     largest id.  NULL ids are together one document, smaller than any other.
     A line repeated within one document counts it once.
     """
-    cols = [docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
+    cols = [docs[id_col].alias("id"), F.split(F.coalesce(docs[text_col], F.lit("")), "\n").alias("lines"),
             text_key(docs[text_col]).alias("row")]
     if carry:
         cols.append(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
@@ -65,10 +65,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.collect_set("pos").alias("gone"))
 
     joined = base.join(dropped, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("row") == F.col("d_row")), "left")
-    split = F.split("text", "\n")
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "gone"),
-                                    lambda i: F.get(split, i)), "\n")
-    out = [F.col("id").alias(id_col), F.size(split).cast("long").alias("n_lines"),
+    # lines were split below the join: looking one up by its position costs no further split
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"), lambda i: F.get("lines", i))
+    out = [F.col("id").alias(id_col), F.size("lines").cast("long").alias("n_lines"),
            F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
-           F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text")]
+           F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept), "\n").alias("kept_text")]
     return joined.select(*out, *(["doc"] if carry else []))

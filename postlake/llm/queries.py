@@ -6,9 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, langid, line_dedup, mixing, simhash
+from postlake.llm import decontaminate, langid, line_dedup, mixing, secret_scan, simhash
 from postlake.llm.common import table
 
 
@@ -18,6 +18,27 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _counts(found: Column, kinds: tuple[str, ...], n: int) -> list[Column]:
+    """A count for each of the first ``n`` kinds."""
+    def of(k: int) -> Column:
+        return F.size(F.filter(found, lambda s: s["kind"] == k)).cast("long")
+    return [of(k).alias(f"n_{kinds[k]}") for k in range(n)]
+
+
+def _digests(found: Column, kinds: tuple[str, ...], n: int) -> list[Column]:
+    """SHA-256 of the spans of the first ``n`` kinds, and all spans."""
+    base = F.filter(found, lambda s: s["kind"] < n)
+    return [F.sha2(secret_scan.spans_text(base, kinds), 256).alias("base_sha256"),
+            secret_scan.spans_text(found, kinds).alias("spans")]
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known shapes, and random tokens at a false-discovery rate of 1 %."""
+    out = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), q=0.01)
+    found = F.col("found")
+    return out.select("doc_id", *_counts(found, secret_scan.KINDS, 3), *_digests(found, secret_scan.KINDS, 3))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from the rows not held out, predicts all."""
     docs = table(spark, sf_dir, "documents")
@@ -50,6 +71,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
     "op9_entropy_balancing": op9_entropy_balancing,
