@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, langid, line_dedup, mixing, secret_scan, simhash
+from postlake.llm import decontaminate, langid, line_dedup, mixing, quality, secret_scan, simhash
 from postlake.llm.common import table
 
 
@@ -39,6 +39,13 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *_counts(found, secret_scan.KINDS, 3), *_digests(found, secret_scan.KINDS, 3))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 2 % of a language's good documents rejected, with 95 % confidence over all."""
+    out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.02, delta=0.05)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from the rows not held out, predicts all."""
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +79,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_quality_rules": op4_quality_rules,
     "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
     "op9_entropy_balancing": op9_entropy_balancing,
