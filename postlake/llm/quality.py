@@ -11,9 +11,9 @@ probability ``delta`` at most, over all strata and rules together:
   failure, so the grid costs no correction (fixed sequence testing);
 * each walk runs at level ``delta`` / (strata * rules) (Bonferroni), and the
   rules of a stratum share the risk, so that any of them together keeps it;
-* of the certified cutoffs the one that rejects most labelled bad documents is
-  used, the mildest of equals; none certified, or nothing bad rejected: the
-  rule is off in that stratum.
+* of the certified cutoffs that reject more labelled bad documents than good
+  ones, the one that rejects most bad ones is used, the mildest of equals; if
+  there is none, the rule is off in that stratum.
 
 Statistics are one pass over the texts without a shuffle.  Labels join narrow
 rows of counts, and what is learnt is one row per stratum and rule.
@@ -126,7 +126,7 @@ def learn_cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", s
     best = Window.partitionBy("stratum", "r").orderBy(F.desc("k_bad"), "step")
     names = F.array(*[F.lit(r[0]) for r in RULES])
     return counts.withColumn("ok", certified("k_good", "n_good")).withColumn("ok", F.min("ok").over(walk)) \
-        .where("ok and k_bad > 0").withColumn("place", F.row_number().over(best)).where("place = 1") \
+        .where("ok and k_bad > k_good").withColumn("place", F.row_number().over(best)).where("place = 1") \
         .select("stratum", F.get(names, F.col("r")).alias("rule"), "cutoff", "n_good", F.col("k_good").alias("false_rejections"))
 
 
