@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, langid, line_dedup, mixing, quality, secret_scan, simhash
+from postlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, secret_scan, simhash
 from postlake.llm.common import table
 
 
@@ -55,6 +55,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern spans and those of the field."""
+    out = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    found = F.array_sort(F.concat("base", "added"))
+    base = F.col("base")
+    return out.select("doc_id", *_counts(base, pii.KINDS, 4),
+                      F.sha2(secret_scan.spans_text(base, pii.KINDS), 256).alias("base_sha256"),
+                      secret_scan.spans_text(found, pii.KINDS).alias("spans"), F.size("added").alias("n_added"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points or more in three documents or more."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
@@ -81,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_personal_data": op7_personal_data,
     "op8_line_dedup": op8_line_dedup,
     "op9_entropy_balancing": op9_entropy_balancing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
