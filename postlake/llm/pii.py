@@ -399,7 +399,7 @@ def _as_rows(spans) -> list[dict]:
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_regions: int = 2000,
-                       min_posterior: float = 0.95) -> DataFrame:
+                       min_posterior: float = 0.8) -> DataFrame:
     """Personal data in each text.
 
     Returns one row per input row: the id, ``base`` (pattern spans), ``added``
