@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, langid, line_dedup, mixing, pii, quality, secret_scan, simhash
+from postlake.llm import decontaminate, langid, licenses, line_dedup, mixing, pii, quality, secret_scan, simhash
 from postlake.llm.common import table
 
 
@@ -46,6 +46,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices with 80 % of a template's five-word shingles."""
+    out = licenses.find_licenses(table(spark, sf_dir, "documents"), containment=0.8, keep=["doc_id"])
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
+    return out.select("doc_id", F.size("matches").cast("long").alias("n_matches"),
+                      F.array_join("licenses", ",").alias("licenses"), F.array_join(spans, ",").alias("spans"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from the rows not held out, predicts all."""
     docs = table(spark, sf_dir, "documents")
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
     "op7_personal_data": op7_personal_data,
     "op8_line_dedup": op8_line_dedup,
