@@ -8,10 +8,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlake.llm import decontaminate, langid, licenses, line_dedup, mixing, pii, quality, secret_scan, simhash
+from postlake.llm import decontaminate, langid, licenses, line_dedup, mixing, pii, quality, secret_scan, simhash, substring_dedup
 from postlake.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that near-repeat across documents."""
+    out = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return out.select("doc_id", "component_id", F.size("spans").cast("long").alias("n_spans"), "copies",
+                      F.array_join(spans, ",").alias("spans"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-word shingles, links at two bits or fewer."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -95,6 +103,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
