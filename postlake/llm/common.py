@@ -54,7 +54,8 @@ def with_python_columns(df: DataFrame, inputs: list[str], outputs: StructType,
     where it is not true are left out, and the column itself too.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in outputs.names]
-    src = df.select(*[df[c] for c in keep], *[df[c].alias(f"__in{i}") for i, c in enumerate(inputs)])
+    mark = "__in" + "_" * max((len(c) for c in keep), default=0)  # longer than any column's name
+    src = df.select(*[df[c] for c in keep], *[df[c].alias(f"{mark}{i}") for i, c in enumerate(inputs)])
     out_fields = [f for f in outputs.fields if f.name != where]
     schema = StructType(src.schema.fields[:len(keep)] + out_fields)
     types = [(f.name, to_arrow_type(f.dataType)) for f in outputs.fields]
