@@ -1,0 +1,55 @@
+"""The pipeline's stages: their contract and their effect."""
+
+import corpus_pipeline
+from helpers import frame, hits
+from postlake.llm.queries import ORACLE, QUERIES
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as E
+
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in E.queries()) == 1
+    assert "pipeline" in E.queries() and set(ORACLE) <= set(QUERIES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "mixing"]
+
+
+def test_stages_on_planted_cases(spark, tmp_path):
+    rnd = __import__("random").Random(1)
+    words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa"]
+
+    def prose(n=60):
+        return " ".join(rnd.choice(words) + str(rnd.randint(0, 9999)) for _ in range(n))
+    secret = " ".join(f"exam{i}" for i in range(14))
+    line = "This boiler plate line stands everywhere"
+    texts = [prose() for _ in range(20)]
+    texts += [texts[0], texts[1] + "\n"] + [prose() + "\n" + line for _ in range(4)] + [prose() + " " + secret.upper(), "12345 67890", None, ""]
+    docs = frame(spark, texts, source=["a" if i % 3 else "b" for i in range(len(texts))])
+    spark.createDataFrame([(1, secret)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept, ids = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, kept, str(tmp_path))
+        if name != "mixing":
+            assert out.schema.simpleString() == docs.schema.simpleString()
+        out.write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        ids[name] = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert set(ids["language_id"]) == set(range(27))  # digits, NULL and empty go
+    assert sum(line in t for t in ids["line_dedup"].values()) == 1
+    assert set(ids["near_dedup"]) == set(range(27)) - {20, 21}
+    assert set(ids["decontamination"]) == set(ids["near_dedup"]) - {26}
+    assert hits(texts[26], [(1, secret)])[1] == 14
+    mixed = corpus_pipeline.run(spark, str(tmp_path))
+    assert mixed.columns == [*docs.columns, "copy"]
+    n = {t: len(t.split()) for t in ids["decontamination"].values()}
+    taken = sum(len(r["text"].split()) for r in mixed.collect())
+    assert abs(taken - 1.5 * sum(n.values())) < 70
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    docs = frame(spark, ["x"]).limit(0)
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path)).select("doc_id", "text", "lang", "source", "n_chars")
+        assert docs.count() == 0
