@@ -8,7 +8,7 @@ rows kept out of the training.
 
 Document frequencies are counted over all labelled training documents.  The
 classifier itself is fitted on a bounded sample: ``per_class`` documents of each
-language, those with the smallest hashes of id and text.  Everything that
+language, chosen by small hashes of id and text.  Everything that
 comes to the driver is bounded by the number of features and languages.
 Prediction is one pass over the documents without a shuffle.
 """
@@ -139,14 +139,19 @@ def document_frequencies(docs: DataFrame, text_col: str, bits: int) -> tuple[int
 
 
 def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature with the least negative log-likelihood, by golden section."""
-    if not len(labels):
+    """The temperature with the least cross-entropy, by golden section.  The
+    labels are smoothed by one case of each class, so that a sample without an
+    error does not make all scores one."""
+    n, k = len(labels), logits.shape[-1]
+    if not n:
         return 1.0
+    want = np.full((n, k), 1.0 / (n + k))
+    want[np.arange(n), labels] += n / (n + k)
 
     def loss(log_t: float) -> float:
         z = logits / np.exp(log_t)
         z = z - z.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(labels)), labels]).mean())
+        return float((np.log(np.exp(z).sum(axis=1)) - (want * z).sum(axis=1)).mean())
     lo, hi, r = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(60):
         a, b = hi - r * (hi - lo), lo + r * (hi - lo)
@@ -156,12 +161,12 @@ def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
         bits: int = 15, per_class: int = 1000, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0,
-        l1: float = 0.02, l2: float = 0.01) -> Model:
+        l1: float = 0.02, l2: float = 0.01, max_classes: int = 1000) -> Model:
     """Fit a model to the rows of ``docs`` with a label and a text with letters.
 
-    ``per_class`` bounds the sample: that many documents of a language at most
-    (repeated rows count once), four in five to learn from and one to
-    calibrate with.  They pass one task in batches, ``epochs`` times; it keeps
+    ``per_class`` bounds the sample: about that many documents of a language,
+    never more (repeated rows count once), four in five to learn from and one
+    to calibrate with.  ``max_classes`` bounds the number of languages.  They pass one task in batches, ``epochs`` times; it keeps
     the weights only.  Without any labelled row the model has no classes.
     """
     spark = docs.sparkSession
@@ -170,12 +175,16 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col
     n, df = document_frequencies(labelled, "text", bits)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
 
-    # the per_class smallest hashes of each label, found on (label, hash) alone
-    place = F.row_number().over(Window.partitionBy("label").orderBy("h"))
+    # hashes are uniform, so a language's share below this cut is about per_class documents; no sort of its rows
     lettered = labelled.where(F.col("text").rlike(r"\p{L}"))
-    cut = lettered.select("label", "h").withColumn("place", place).where(F.col("place") <= per_class) \
-        .groupBy("label").agg(F.max("h").alias("cut"))
+    sizes = lettered.groupBy("label").count().limit(max_classes + 1).collect()
+    if len(sizes) > max_classes:
+        raise ValueError(f"more than {max_classes} languages")
+    cuts = [(r["label"], -(1 << 63) + min((1 << 64) - 1, (per_class << 64) // r["count"])) for r in sizes]
+    cut = F.broadcast(spark.createDataFrame(cuts, "label string, cut long"))  # max_classes rows at most
+    place = F.row_number().over(Window.partitionBy("label").orderBy("h"))
     sample = lettered.join(cut, "label").where("h <= cut").dropDuplicates(["label", "h"]) \
+        .withColumn("place", place).where(F.col("place") <= per_class) \
         .select("label", "h", "text").withColumn("fold", F.pmod(F.shiftrightunsigned("h", 20), F.lit(5)))
     sample = materialised(sample)
     classes = tuple(sorted(r[0] for r in sample.select("label").distinct().collect()))
@@ -204,7 +213,7 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col
     kept_out = with_python_columns(sample.where("fold = 0"), ["text"],
                                    StructType([StructField("z", ArrayType(DoubleType()))]),
                                    _logits(spark.sparkContext.broadcast(model)), keep=["label"]).collect()
-    t = _temperature(np.array([r["z"] for r in kept_out]), np.array([classes.index(r["label"]) for r in kept_out], int))
+    t = _temperature(np.array([r["z"] for r in kept_out]).reshape(-1, len(classes)), np.array([classes.index(r["label"]) for r in kept_out], int))
     return Model(classes, w[:-1], w[-1], idf, t, bits)
 
 
