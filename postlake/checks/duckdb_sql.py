@@ -1,7 +1,8 @@
 """DuckDB SQL for every query in ``postlake.plans.registry.QUERIES``.
 
-Written independently of the Spark code, in the plainest form: the questions
-run over the full joins with ``count(*)``, ``row_number`` and
+Written in the plainest form (the text-to-int rule of the native follower count
+repeats its patterns; pytest checks that rule against Spark's own cast): the
+questions run over the full joins with ``count(*)``, ``row_number`` and
 ``quantile_disc``.  The views ``orders``, ``customer``, ``nation`` and
 ``documents`` are the test-data tables.  Types are cast to what the Spark side
 returns (``year`` -> INTEGER, counts BIGINT).
@@ -9,6 +10,7 @@ returns (``year`` -> INTEGER, counts BIGINT).
 
 from __future__ import annotations
 
+# The placeholder texts upstream writes for missing data.
 _SENTINELS = {
     "description": "No description available Story format",
     "follower_count": "User Info Error",
@@ -38,7 +40,8 @@ raw_posts AS (
     CAST(k % 2 AS INTEGER) AS downloaded, 'Local save in /data/' || cat AS save_location, cat AS category
   FROM src),
 raw_geo AS (
-  SELECT k AS ind, CAST(d + INTERVAL '21' YEAR AS VARCHAR) AS "timestamp",
+  SELECT k AS ind, CASE WHEN k % 37 = 0 THEN CAST(CAST(d + INTERVAL '21' YEAR AS DATE) AS VARCHAR) || 'T22:30:00-05:00'
+      ELSE CAST(d + INTERVAL '21' YEAR AS VARCHAR) END AS "timestamp",
     CAST(k * 7919 % 18001 AS DOUBLE) / 100 - 90 AS latitude,
     CAST(k * 104729 % 36001 AS DOUBLE) / 100 - 180 AS longitude, n_name AS country
   FROM src),
@@ -46,9 +49,10 @@ raw_users AS (
   SELECT k AS ind, CASE WHEN k % 31 = 0 THEN NULL ELSE substring(c_name, 1, 8) END AS first_name,
     substring(c_name, 10, 9) AS last_name,
     CAST(CASE WHEN ck % 41 = 0 THEN NULL ELSE 10 + ck % 60 END AS INTEGER) AS age,
-    CAST(CASE k % 3 WHEN 0 THEN d + INTERVAL '17' YEAR WHEN 1 THEN d + INTERVAL '18' YEAR
-      ELSE d + INTERVAL '19' YEAR END AS VARCHAR) AS date_joined
-  FROM src)"""
+    CASE WHEN k % 43 = 0 THEN CAST(CAST(joined AS DATE) AS VARCHAR) || 'T00:30:00+09:00'
+      ELSE CAST(joined AS VARCHAR) END AS date_joined
+  FROM (SELECT *, CASE k % 3 WHEN 0 THEN d + INTERVAL '17' YEAR WHEN 1 THEN d + INTERVAL '18' YEAR
+      ELSE d + INTERVAL '19' YEAR END AS joined FROM src) j)"""
 
 
 def _lit(s: str) -> str:
@@ -67,12 +71,19 @@ def _expand(x: str) -> str:
 
 
 def _scaled(x: str) -> str:
-    places = rf"CASE regexp_extract({x}, '([A-Za-z])\s*$', 1) WHEN 'k' THEN 3 WHEN 'M' THEN 6 ELSE 0 END"
-    digits = (rf"(regexp_extract({x}, '^\s*[+-]?([0-9]*)', 1) || "
-              rf"rpad(regexp_extract({x}, '\.([0-9]*)', 1), {places}, '0'))")
-    shifted = rf"(regexp_extract({x}, '^\s*([+-]?)', 1) || CASE WHEN {digits} = '' THEN '0' ELSE {digits} END)"
-    return (rf"CASE WHEN regexp_matches({x}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)[kM]?\s*$') "
-            rf"THEN {_tolerant_int(shifted)} END")
+    number = (f"TRY_CAST(CASE WHEN suffix({x}, 'k') OR suffix({x}, 'M') THEN left({x}, length({x}) - 1) ELSE {x} END "
+              "AS DECIMAL(24, 9))")
+    return (f"TRY_CAST(trunc({number} * CASE WHEN suffix({x}, 'k') THEN 1000 WHEN suffix({x}, 'M') THEN 1000000 "
+            "ELSE 1 END) AS INTEGER)")
+
+
+def _timestamp(x: str) -> str:
+    """Text to a wall clock in UTC: an offset at the end is subtracted by hand."""
+    wall = f"TRY_CAST(left({x}, length({x}) - 6) AS TIMESTAMP)"
+    minutes = f"CAST(left(right({x}, 5), 2) AS INTEGER) * 60 + CAST(right({x}, 2) AS INTEGER)"
+    return (f"CASE WHEN regexp_matches({x}, '[+][0-9][0-9]:[0-9][0-9]$') THEN {wall} - to_minutes({minutes}) "
+            f"WHEN regexp_matches({x}, 'T.*-[0-9][0-9]:[0-9][0-9]$') THEN {wall} + to_minutes({minutes}) "
+            f"ELSE TRY_CAST({x} AS TIMESTAMP) END")
 
 
 def _nulled(name: str) -> str:
@@ -88,11 +99,11 @@ clean_posts AS (
     replace(save_location, 'Local save in ', '') AS save_location, category
   FROM raw_posts),
 clean_geo AS (
-  SELECT ind, country, [latitude, longitude] AS coordinates, TRY_CAST("timestamp" AS TIMESTAMP) AS "timestamp"
+  SELECT ind, country, [latitude, longitude] AS coordinates, {_timestamp('"timestamp"')} AS "timestamp"
   FROM raw_geo),
 clean_users AS (
   SELECT ind, concat_ws(' ', first_name, last_name) AS user_name, age,
-    TRY_CAST(date_joined AS TIMESTAMP) AS date_joined
+    {_timestamp('date_joined')} AS date_joined
   FROM raw_users),
 banded AS (
   SELECT ind, age, CASE WHEN age BETWEEN 18 AND 24 THEN '18-24' WHEN age BETWEEN 25 AND 35 THEN '25-35'

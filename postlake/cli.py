@@ -1,11 +1,11 @@
 """Command line: the batch questions over JSON topics, and the three streams.
 
-    python -m postlake batch --topics ROOT [--out DIR] [--show N]
+    python -m postlake batch --topics ROOT [--out DIR] [--show N] [--input-bytes N --executors N]
     python -m postlake stream --sources ROOT --tables ROOT --checkpoints ROOT [--continuous]
 
 ``batch`` reads ``ROOT/<posts|geo|users>/partition=*/*.json`` with the
-declared schemas, cleans the three tables, and answers every question: each
-answer is shown, or written as Parquet to ``DIR/<question>`` with ``--out``.
+declared schemas, cleans each of the three tables once into Parquet under the
+shared scratch folder, and answers every question from those: each answer is shown, or written as Parquet to ``DIR/<question>`` with ``--out``.
 ``stream`` starts one decode -> clean -> append stream per record type
 (text files of JSON records under ``ROOT/<type>``), each with its own
 checkpoint, and by default processes what has arrived and stops.
@@ -20,7 +20,9 @@ from pyspark.sql import SparkSession
 
 from postlake.operators.clean import CLEANERS
 from postlake.plans import questions as q
+from postlake.plans.lake import write_clean
 from postlake.schemas import RAW
+from postlake.session import ADAPTIVE_CONF, cluster_conf, scratch_path
 from postlake.sources.files import read_topic
 from postlake.streaming.streams import append_stream, clean_stream, read_stream
 
@@ -43,8 +45,11 @@ QUESTIONS = {
 
 
 def clean_topics(spark: SparkSession, root: str) -> dict:
-    """``{"g": geo, "p": posts, "u": users}`` cleaned from the topic files."""
-    tables = {kind: CLEANERS[kind](read_topic(spark, root, kind, RAW[kind])) for kind in TYPES}
+    """``{"g": geo, "p": posts, "u": users}`` cleaned from the topic files: each
+    topic is scanned once, and the questions read the clean Parquet tables."""
+    base = scratch_path(spark, "topics_clean", unique=True)
+    tables = {kind: write_clean(CLEANERS[kind](read_topic(spark, root, kind, RAW[kind])), kind, f"{base}/{kind}")
+              for kind in TYPES}
     return {"g": tables["geo"], "p": tables["posts"], "u": tables["users"]}
 
 
@@ -92,9 +97,15 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoints", required=True)
     s.add_argument("--format", default="parquet")
     s.add_argument("--continuous", action="store_true")
+    for p in (b, s):
+        p.add_argument("--input-bytes", type=int, help="size of the input, to size partitions for a cluster")
+        p.add_argument("--executors", type=int)
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"postlake-{args.command}").getOrCreate()
+    conf = dict(ADAPTIVE_CONF) | {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    if args.input_bytes and args.executors:
+        conf = cluster_conf(args.input_bytes, args.executors)
+    spark = SparkSession.builder.appName(f"postlake-{args.command}").config(map=conf).getOrCreate()
     if args.command == "batch":
         run_batch(spark, args.topics, args.out, args.show)
     else:

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
+# How producers write a timestamp (fixed format): wall clock, seconds, no zone.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+_JSON_TIMES = {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}
+
+
 def decode(df: DataFrame, schema: StructType, payload: str = "data",
            drop_malformed: bool = False) -> DataFrame:
     """Parse a JSON payload column (binary or string) with a fixed schema.
@@ -28,16 +33,16 @@ def to_records(df: DataFrame, ignore_null_fields: bool = True) -> DataFrame:
     """One JSON object per row in a ``value`` string column.
 
     NULL fields are left out unless ``ignore_null_fields=False``; timestamps
-    are written as text.
+    are written as text in ``TIME_FORMAT``.
     """
-    opts = {"ignoreNullFields": str(ignore_null_fields).lower()}
+    opts = {"ignoreNullFields": str(ignore_null_fields).lower(), **_JSON_TIMES}
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), opts).alias("value"))
 
 
 def wrap_records(df: DataFrame) -> DataFrame:
     """Rows as REST-proxy payloads ``{"records":[{"value":{...}}]}``, one per row."""
     record = F.struct(F.struct(*[F.col(c) for c in df.columns]).alias("value"))
-    return df.select(F.to_json(F.struct(F.array(record).alias("records"))).alias("value"))
+    return df.select(F.to_json(F.struct(F.array(record).alias("records")), _JSON_TIMES).alias("value"))
 
 
 def wrap_data(df: DataFrame, stream_name: str = "stream", partition_key: str = "key") -> DataFrame:
@@ -45,7 +50,7 @@ def wrap_data(df: DataFrame, stream_name: str = "stream", partition_key: str = "
     body = F.struct(F.lit(stream_name).alias("StreamName"),
                     F.struct(*[F.col(c) for c in df.columns]).alias("Data"),
                     F.lit(partition_key).alias("PartitionKey"))
-    return df.select(F.to_json(body).alias("value"))
+    return df.select(F.to_json(body, _JSON_TIMES).alias("value"))
 
 
 def unpack_envelope(df: DataFrame, schema: StructType, kind: str = "records",

@@ -27,14 +27,12 @@ def per_key_counts(df: DataFrame, key: str, cols: list[str], weight: str) -> Dat
               .groupBy(key, *cols).agg(F.count(F.lit(1)).alias(weight)))
 
 
-def joined_counts(sides: list[tuple[DataFrame, list[str]]], key: str, out: str = "n",
-                  group_cols: list[str] | None = None, raw_last: bool = True) -> DataFrame:
+def joined_counts(sides: list[tuple[DataFrame, list[str]]], key: str, out: str = "n") -> DataFrame:
     """``count(*)`` of ``side_1 ⋈ side_2 ⋈ … ON key`` grouped by the listed columns.
 
     ``sides`` is a list of ``(frame, column names)``.  Every side but the
     last is reduced to ``(key, columns…, weight)``; the last (the fact side,
-    normally the largest) joins row by row unless ``raw_last=False``.  The
-    count of a group is the sum over joined rows of the product of the
+    normally the largest) joins row by row.  The count of a group is the sum over joined rows of the product of the
     weights, aggregated map-side right after the join.
 
     With one side raw, a key costs (its rows on that side) × (its distinct
@@ -46,14 +44,12 @@ def joined_counts(sides: list[tuple[DataFrame, list[str]]], key: str, out: str =
     weights = [f"_w{i}" for i in range(len(sides))]
     summaries = []
     for i, ((df, cols), w) in enumerate(zip(sides, weights)):
-        if raw_last and i == len(sides) - 1:
+        if i == len(sides) - 1:
             summaries.append(df.where(F.col(key).isNotNull()).select(key, *cols))
         else:
             summaries.append(per_key_counts(df, key, cols, w))
-    if raw_last:
-        weights = weights[:-1]
     joined = reduce(lambda left, right: left.join(right, key, "inner"), summaries)
-    product: Column = reduce(lambda a, b: a * b, [F.col(w) for w in weights])
-    names = group_cols if group_cols is not None else [c for _, cols in sides for c in cols]
+    product: Column = reduce(lambda a, b: a * b, [F.col(w) for w in weights[:-1]])
+    names = [c for _, cols in sides for c in cols]
     return joined.groupBy(*names).agg(F.sum(product).alias(out))
 

@@ -26,8 +26,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, ShortType
 
-from postlake.session import checkpoint_root
-
 _SHIFT = 16
 
 
@@ -47,25 +45,21 @@ def _pick(hist: DataFrame, group_cols: list[str], order_col: str, weight: str, n
 
 
 def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
-                          weight: str, out: str, materialize: bool = True) -> DataFrame:
+                          weight: str, out: str) -> DataFrame:
     """``(group…, out)`` for every group of ``weights``; ``out`` is NULL when a
     group has no non-NULL value (as SQL aggregates do).
 
-    Both passes and the group list read the weights.  With ``materialize``
-    they are written once with a reliable ``checkpoint()`` (under
-    ``spark.checkpoint.dir``), which cuts the lineage so the upstream join
-    and aggregation run once; the weights hold one row per distinct (group,
-    value), so the write is small.  This runs a job when called.
+    Nothing runs until an action.  Both passes and the group list read the
+    weights, and the plan is written so that they share one exchange: no branch
+    has a filter of its own that Spark would push below the weights'
+    aggregation, so the exchanges under it are equal and the plan reuses one.
     """
     vtype = weights.schema[value].dataType
     if not isinstance(vtype, (IntegerType, ShortType, ByteType)):
         raise TypeError(f"weighted_lower_median needs an integer column of at most 32 bits, got {vtype}")
     g = list(group_cols)
-    rows = (weights.where(F.col(weight) > 0)
-                   .select(*g, F.col(value).cast("long").alias("_v"), F.col(weight).cast("long").alias("_w")))
-    if materialize:
-        checkpoint_root(rows.sparkSession)
-        rows = rows.checkpoint(eager=True)
+    rows = weights.select(*g, F.col(value).cast("long").alias("_v"),
+                          F.greatest(F.col(weight).cast("long"), F.lit(0)).alias("_w"))
     bucket = F.shiftright(F.col("_v"), _SHIFT)
 
     # Pass 1: bucket histogram, group totals, and the bucket holding the target
@@ -82,8 +76,8 @@ def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
               .select(*g, "_b", (F.col("_target") - F.col("_before")).alias("_need")))
 
     # Pass 2: exact values inside the chosen bucket only.
-    inside = rows.where(F.col("_v").isNotNull()).withColumn("_b", bucket)
-    cond = _null_safe_on(inside, chosen, g) & (inside["_b"] == chosen["_b"])
+    inside = rows.withColumn("_b", bucket)
+    cond = _null_safe_on(inside, chosen, [*g, "_b"])  # a chosen bucket is never NULL
     narrowed = inside.join(chosen, cond, "inner").select(
         *[inside[c] for c in g], inside["_v"], inside["_w"], chosen["_need"])
     exact = narrowed.groupBy(*g, "_v", "_need").agg(F.sum("_w").alias("_vw"))
@@ -91,8 +85,3 @@ def weighted_lower_median(weights: DataFrame, group_cols: list[str], value: str,
         *g, F.col("_v").cast(vtype).alias(out))
     return found.unionByName(empty)
 
-
-def median_per_group(weights: DataFrame, group_cols: list[str], value: str, weight: str,
-                     out: str, materialize: bool = True) -> DataFrame:
-    """Alias of :func:`weighted_lower_median` kept for readability at call sites."""
-    return weighted_lower_median(weights, group_cols, value, weight, out, materialize)

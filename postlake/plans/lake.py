@@ -14,21 +14,36 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlake.operators.clean import CLEANERS
 from postlake.operators.decode import to_records
 from postlake.session import scratch_path
+from postlake.sinks.files import write_topic
 from postlake.sources.testdata import RAW_BUILDERS, source_rows
 
 TABLES = ("posts", "geo", "users")
 
-# Within every written file, rows are sorted by the column the year filters
-# use, so Parquet row-group min/max statistics are tight and the pushed-down
-# timestamp ranges skip whole row groups.  A sort inside each write task: no
-# shuffle.
+# The column the year filters use.  The table is partitioned by its year (column
+# ``<name>_year``), so a year filter opens only those folders, and rows are
+# sorted by it inside each file, so the pushed-down ranges skip row groups.  A
+# write task makes one file a year at most, and no shuffle.
 CLUSTER_BY = {"geo": "timestamp", "users": "date_joined"}
 
 
+def write_clean(clean: DataFrame, name: str, path: str) -> DataFrame:
+    """Write a clean table in the lake's layout and read it back."""
+    column = CLUSTER_BY.get(name)
+    if column is None:
+        clean.write.mode("overwrite").parquet(path)
+    else:
+        year = f"{column}_year"
+        (clean.withColumn(year, F.year(column)).sortWithinPartitions(year, column)
+              .write.mode("overwrite").partitionBy(year).parquet(path))
+    schema = clean.schema if column is None else clean.withColumn(f"{column}_year", F.year(column)).schema
+    return clean.sparkSession.read.schema(schema).parquet(path)
+
+
 class Lake:
     """The derived source rows (written once), raw tables (lazy projections
     of them) and clean tables (materialised on first use).
@@ -47,6 +62,8 @@ class Lake:
         self._source_lock = threading.Lock()
         self._source: DataFrame | None = None
         self._records: dict[str, str] = {}
+        self._topics: set[str] = set()
+        self._csv: set[str] = set()
 
     def source(self) -> DataFrame:
         with self._source_lock:
@@ -69,6 +86,26 @@ class Lake:
                 self._records[name] = path
             return self._records[name]
 
+    def topic(self, name: str) -> str:
+        """Root of a topic folder with the raw rows of ``name`` as JSON lines,
+        written once."""
+        with self._locks[name]:
+            root = f"{self.root}/topics"
+            if name not in self._topics:
+                write_topic(self.raw(name), root, name, mode="overwrite")
+                self._topics.add(name)
+            return root
+
+    def csv(self, table: str) -> str:
+        """Folder of a test table as CSV with a header, written once."""
+        with self._source_lock:
+            path = f"{self.root}/csv/{table}"
+            if table not in self._csv:
+                (self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+                     .write.mode("overwrite").option("header", "true").csv(path))
+                self._csv.add(table)
+            return path
+
     def clean(self, name: str) -> DataFrame:
         return self._build_one(name)
 
@@ -84,11 +121,7 @@ class Lake:
         with self._locks[name]:
             if name not in self._clean:
                 path = f"{self.root}/{name}"
-                clean = CLEANERS[name](self.raw(name))
-                if name in CLUSTER_BY:
-                    clean = clean.sortWithinPartitions(CLUSTER_BY[name])
-                clean.write.mode("overwrite").parquet(path)
-                self._clean[name] = self.spark.read.parquet(path)
+                self._clean[name] = write_clean(CLEANERS[name](self.raw(name)), name, path)
             return self._clean[name]
 
     @property

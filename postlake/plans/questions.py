@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import age_group
 from postlake.operators.joins import joined_counts
-from postlake.operators.median import median_per_group
+from postlake.operators.median import weighted_lower_median
 from postlake.operators.topk import top_n_per_group
 
 KEY = "ind"
@@ -46,8 +46,18 @@ def in_years(ts: str, lo: int | None, hi: int | None) -> Column | None:
     return out
 
 
-def _filtered(df: DataFrame, cond: Column | None) -> DataFrame:
-    return df if cond is None else df.where(cond)
+def of_years(df: DataFrame, ts: str, lo: int | None, hi: int | None) -> DataFrame:
+    """Rows with ``year(ts)`` in lo..hi.  A table partitioned by year (column
+    ``<ts>_year``, see the lake) is asked by that column too, so the scan
+    opens the folders of those years only."""
+    cond = in_years(ts, lo, hi)
+    if cond is None:
+        return df
+    year = F.col(f"{ts}_year")
+    if f"{ts}_year" in df.columns:
+        for bound in ([] if lo is None else [year >= lo]) + ([] if hi is None else [year <= hi]):
+            cond = cond & bound
+    return df.where(cond)
 
 
 # ---------------------------------------------------------------- joins
@@ -66,7 +76,9 @@ def join_users_posts(u: DataFrame, p: DataFrame) -> DataFrame:
 
 def join_three_way(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
     """Every geo ⋈ posts ⋈ users row: ind, country, user_name, category, follower_count.
-    Both joins use the same key, so the middle result is not shuffled again."""
+    Both joins use the same key.  A hot key is split in both where
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` is on (the session helpers set
+    it), at the price of a shuffle of the middle result in that case."""
     return (g.select(KEY, "country")
              .join(p.select(KEY, "category", "follower_count"), KEY, "inner")
              .join(u.select(KEY, "user_name"), KEY, "inner")
@@ -89,7 +101,7 @@ def top_category_by_country(g: DataFrame, p: DataFrame) -> DataFrame:
 
 def posts_per_category_year(g: DataFrame, p: DataFrame, lo: int = 2018, hi: int = 2022) -> DataFrame:
     """Posts per (post year, category) for post years lo..hi: post_year, category, n."""
-    years = _filtered(g, in_years("timestamp", lo, hi)).select(
+    years = of_years(g, "timestamp", lo, hi).select(
         KEY, F.year("timestamp").alias("post_year"))
     return joined_counts([(years, ["post_year"]), (p, ["category"])], KEY, "n")
 
@@ -172,20 +184,19 @@ def top_category_by_age_group(u: DataFrame, p: DataFrame) -> DataFrame:
 def _median_followers(users: DataFrame, group_cols: list[str], p: DataFrame) -> DataFrame:
     """Lower median of posts.follower_count over users ⋈ posts rows per group."""
     weights = joined_counts([(users, group_cols), (p, ["follower_count"])], KEY, "_weight")
-    return median_per_group(weights, group_cols, "follower_count", "_weight",
-                            "median_follower_count")
+    return weighted_lower_median(weights, group_cols, "follower_count", "_weight", "median_follower_count")
 
 
 def median_followers_by_age_group(u: DataFrame, p: DataFrame) -> DataFrame:
     """age_group, median_follower_count."""
     weights = _banded_counts(u, p, ["follower_count"], "_weight")
-    return median_per_group(weights, ["age_group"], "follower_count", "_weight", "median_follower_count")
+    return weighted_lower_median(weights, ["age_group"], "follower_count", "_weight", "median_follower_count")
 
 
 # ---------------------------------------------------------------- join years (A5-A7, A5r-A7r)
 
 def _join_years(u: DataFrame, lo: int | None, hi: int | None, *extra: Column) -> DataFrame:
-    return _filtered(u, in_years("date_joined", lo, hi)).select(
+    return of_years(u, "date_joined", lo, hi).select(
         KEY, *extra, F.year("date_joined").alias("year_joined"))
 
 

@@ -24,16 +24,12 @@ from postlake.plans.lake import lake
 from postlake.plans.sql import SQL_QUESTIONS, run_sql_question
 from postlake.schemas import RAW
 from postlake.session import scratch_path
-from postlake.sinks.files import register_views, write_topic
+from postlake.sinks.files import register_views
 from postlake.sources.files import lookup_value, read_csv, read_topic
 from postlake.streaming.streams import start_clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Topic names used for the JSON topic layout.
-TOPICS = {"posts": "posts", "geo": "geo", "users": "users"}
-
-
 def _raw(spark, sf_dir, kind):
     return lake(spark, sf_dir).raw(kind)
 
@@ -62,18 +58,12 @@ def _age_bands(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources and sinks
 
-def _customer_csv(spark, sf_dir) -> str:
-    path = scratch_path(spark, "csv", "customer", unique=True)
-    spark.read.parquet(f"{sf_dir}/customer.parquet").write.option("header", "true").csv(path)
-    return path
-
-
 def _scan_csv(spark, sf_dir):
-    return read_csv(spark, _customer_csv(spark, sf_dir), sep=",", header=True)
+    return read_csv(spark, lake(spark, sf_dir).csv("customer"), sep=",", header=True)
 
 
 def _lookup_value(spark, sf_dir):
-    keys = read_csv(spark, _customer_csv(spark, sf_dir))
+    keys = read_csv(spark, lake(spark, sf_dir).csv("customer"))
     return lookup_value(keys, "c_custkey", "7", "c_name")
 
 
@@ -84,9 +74,7 @@ def _percent_encode(spark, sf_dir):
 
 def _scan_json(kind) -> Query:
     def run(spark, sf_dir):
-        root = scratch_path(spark, "topics", unique=True)
-        write_topic(_raw(spark, sf_dir, kind), root, TOPICS[kind])
-        return read_topic(spark, root, TOPICS[kind], schema=RAW[kind])
+        return read_topic(spark, lake(spark, sf_dir).topic(kind), kind, schema=RAW[kind])
     return run
 
 

@@ -15,6 +15,9 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where that costs a further shuffle: of two joins in a
+    # row on one key, the first would otherwise keep the key in one task
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -22,20 +25,19 @@ ADAPTIVE_CONF = {
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
                  shuffle_fraction: float = 0.05, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+                 partitions: int | None = None) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of input.
 
     The questions shuffle narrow per-key summaries (a key plus one or two
     columns), a few percent of the input bytes, so shuffle partitions start at
     about one per ``target_partition_bytes`` of that (at least two waves of
-    tasks, at most ``max_partitions`` to keep map-output bookkeeping small).
-    AQE coalesces them to the advisory size at run time and splits skewed
+    tasks), or at ``partitions`` if given.  AQE coalesces them to the advisory size at run time and splits skewed
     join partitions.  Scan splits stay at the same size so a task's share
     fits comfortably in executor memory.
     """
     slots = executors * cores_per_executor
     wanted = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
-    partitions = min(max(2 * slots, wanted), max_partitions)
+    partitions = partitions or max(2 * slots, wanted)
     return {
         **ADAPTIVE_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
@@ -47,6 +49,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
@@ -23,14 +23,19 @@ def topic_path(root: str, topic: str, partition: int | str = "*") -> str:
 
 
 def read_topic(spark: SparkSession, root: str, topic: str, schema: StructType | None = None,
-               partition: int | str = "*") -> DataFrame:
+               partition: int | str = "*", corrupt_record: str | None = None) -> DataFrame:
     """JSON-lines files of one topic, as a sink connector lays them out.
 
     Pass the declared schema: without it Spark infers one with an extra pass
     over every file (and sorts the columns by name), which is fine for a look
-    at a sample and wasteful at scale.
+    at a sample and wasteful at scale.  A line that does not parse is a row of
+    NULLs; with ``corrupt_record`` a column of that name holds its text.
     """
     reader = spark.read.format("json")
+    if corrupt_record is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_record)
+        if schema is not None:
+            schema = StructType([*schema.fields, StructField(corrupt_record, StringType())])
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(topic_path(root, topic, partition))

@@ -29,28 +29,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# A single-split input is small (one file, one row group); more than this many
-# pieces would only make tiny tasks that AQE cannot merge back.
-SPREAD_MAX = 64
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism (at most ``SPREAD_MAX``
-    pieces) when its scan has fewer splits than that, as a small file stored
-    as one row group does.  Large inputs already have enough splits and are
-    left alone, so no shuffle is added at scale."""
-    target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX)
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(k, ck, cat, d, c_name, n_name)`` with every 50th key doubled."""
-    orders = spread(_table(spark, sf_dir, "orders")).select(
+    orders = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("ck"),
         F.col("o_orderpriority").alias("cat"), F.col("o_orderdate").alias("d"))
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    # nation has 25 rows by definition of the schema: a fixed, proven size.
-    nation = F.broadcast(_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = (orders.join(customer, orders.ck == customer.c_custkey)
                   .join(nation, customer.c_nationkey == nation.n_nationkey)
                   .select("k", "ck", "cat", "d", "c_name", "n_name"))
@@ -102,7 +87,8 @@ def raw_geo(src: DataFrame) -> DataFrame:
     k = F.col("k")
     out = src.select(
         k.alias("ind"),
-        _s(_shift_years(F.col("d"), 21)).alias("timestamp"),
+        F.when(k % 37 == 0, F.concat(_s(_shift_years(F.col("d"), 21).cast("date")), F.lit("T22:30:00-05:00")))
+         .otherwise(_s(_shift_years(F.col("d"), 21))).alias("timestamp"),
         ((k * 7919 % 18001).cast("double") / 100 - 90).alias("latitude"),
         ((k * 104729 % 36001).cast("double") / 100 - 180).alias("longitude"),
         F.col("n_name").alias("country"),
@@ -121,15 +107,11 @@ def raw_users(src: DataFrame) -> DataFrame:
          .otherwise(F.substring(F.col("c_name"), 1, 8)).alias("first_name"),
         F.substring(F.col("c_name"), 10, 9).alias("last_name"),
         F.when(ck % 41 == 0, F.lit(None).cast("int")).otherwise((ck % 60 + 10).cast("int")).alias("age"),
-        _s(joined).alias("date_joined"),
+        F.when(k % 43 == 0, F.concat(_s(joined.cast("date")), F.lit("T00:30:00+09:00")))
+         .otherwise(_s(joined)).alias("date_joined"),
     )
     assert out.columns == columns(RAW_USERS)
     return out
 
 
 RAW_BUILDERS = {"posts": raw_posts, "geo": raw_geo, "users": raw_users}
-
-
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw table (``posts``, ``geo`` or ``users``), lazily."""
-    return RAW_BUILDERS[name](source_rows(spark, sf_dir))

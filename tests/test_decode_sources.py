@@ -86,13 +86,25 @@ def test_read_jdbc_needs_bounds(spark):
         read_jdbc(spark, "jdbc:none", "t", column="ind")
 
 
-def test_spread_only_touches_single_split_inputs(spark, tmp_path):
-    from postlake.sources.testdata import spread
-    one = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    small = spark.read.parquet(one)
-    assert small.rdd.getNumPartitions() == 1
-    target = min(spark.sparkContext.defaultParallelism, 64)
-    assert spread(small).rdd.getNumPartitions() == target
-    many = spark.range(0, 1000, numPartitions=target + 3)
-    assert spread(many) is many
+def test_typed_timestamps_round_trip_outside_utc(spark):
+    from postlake.operators.clean import clean_users
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        typed = spark.sql("select 1L as ind, 'A' as first_name, 'B' as last_name, 20 as age, timestamp '2018-12-31 23:30:00' as date_joined")
+        recs = to_records(typed)
+        assert '"date_joined":"2018-12-31 23:30:00"' in recs.first().value
+        back = decode(recs.withColumnRenamed("value", "data"), RAW_USERS, "data")
+        assert str(clean_users(back).first().date_joined) == "2018-12-31 23:30:00"
+        again = unpack_envelope(wrap_records(typed), RAW_USERS)
+        assert again.first().date_joined == "2018-12-31 23:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_topic_keeps_the_text_of_bad_lines(spark, tmp_path):
+    folder = tmp_path / "users" / "partition=0"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"ind": 1, "age": 30}\nnot json\n')
+    rows = read_topic(spark, str(tmp_path), "users", RAW_USERS, corrupt_record="_bad").select("ind", "_bad").collect()
+    assert sorted((r.ind or 0, r["_bad"]) for r in rows) == [(0, "not json"), (1, None)]

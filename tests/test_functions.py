@@ -180,3 +180,15 @@ def test_native_follower_count_equals_udf_rule_with_non_ansi_cast(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
     native = {r.x: r.y for r in df.select("x", parse_follower_count("x").alias("y")).collect()}
     assert {v: (native[v], reference[v]) for v in values if native[v] != reference[v]} == {}
+
+
+def test_timestamps_with_and_without_a_zone(spark):
+    from postlake.functions.time import to_ts
+    rows = [("2018-12-31T23:30:00-05:00", "2019-01-01 04:30:00"), ("2019-01-01T00:30:00+09:00", "2018-12-31 15:30:00"),
+            ("2018-12-31T23:30:00Z", "2018-12-31 23:30:00"), ("2018-12-31 23:30:00", "2018-12-31 23:30:00"),
+            ("2018-12-31", "2018-12-31 00:00:00"), ("soon", None), (None, None)]
+    df = spark.createDataFrame(rows, "t string, want string").withColumn("ts", to_ts("t"))
+    assert df.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    assert [(None if r.ts is None else str(r.ts)) for r in df.collect()] == [w for _, w in rows]
+    typed = spark.sql("select timestamp_ntz '2020-02-03 04:05:06' as a, timestamp '2020-02-03 04:05:06' as b")
+    assert [str(x) for x in typed.select(to_ts("a"), to_ts("b")).first()] == ["2020-02-03 04:05:06"] * 2

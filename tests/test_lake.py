@@ -1,5 +1,6 @@
 """The lake derives and writes its data once per session."""
 
+from postlake.plans import questions as q
 from postlake.plans.lake import lake
 from postlake.session import checkpoint_root
 
@@ -22,3 +23,19 @@ def test_lake_files_are_clustered_by_time(spark, sf_small):
         ts = [r.timestamp for r in spark.read.parquet(f).select("timestamp").collect()]
         present = [t for t in ts if t is not None]
         assert present == sorted(present)
+
+
+def test_year_filters_open_only_their_folders(spark, sf_small):
+    lk = lake(spark, sf_small)
+    df = q.posts_per_category_year(lk.geo, lk.posts, 2018, 2019)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(timestamp_year" in plan.replace("\n", " ")
+    assert lk.geo.where("timestamp is null").count() == lk.raw("geo").where("timestamp is null").count()
+
+
+def test_csv_and_topics_are_written_once(spark, sf_small):
+    lk = lake(spark, sf_small)
+    assert lk.csv("customer") == lk.csv("customer")
+    files = sorted(spark.read.text(lk.csv("customer")).inputFiles())
+    assert lk.topic("geo") == lk.topic("geo")
+    assert sorted(spark.read.text(lk.csv("customer")).inputFiles()) == files

@@ -74,3 +74,28 @@ def test_top_n_per_group_plans_a_partial_limit(spark):
     assert sorted((r.g, r.v) for r in top.collect()) == [(g, v) for g in "abc" for v in (18, 19)]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_weighted_median_is_lazy_and_shares_the_weights_exchange(spark):
+    rows = spark.range(0, 5000, 1, 4).selectExpr("id % 3 as g", "cast(id * 7919 % 1000003 as int) as v", "id % 4 + 1 as w")
+    weights = rows.groupBy("g", "v").agg(F.sum("w").alias("w"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("median-build", "median-build")
+    try:
+        out = weighted_lower_median(weights, ["g"], "v", "w", "m")
+        assert len(tracker.getJobIdsForGroup("median-build")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_forms_have_the_plans_of_the_dataframe_forms(spark, sf_small):
+    from postlake.plans.registry import QUERIES
+    from postlake.plans.sql import SQL_QUESTIONS
+
+    def shape(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning"), plan.count("Join ")
+    for name in SQL_QUESTIONS:
+        assert shape(QUERIES[f"sql_{name}"](spark, sf_small)) == shape(QUERIES[name](spark, sf_small)), name

@@ -72,9 +72,10 @@ def test_count_join_never_materialises_pairs(skewed):
 
 def test_aqe_splits_the_hot_key_in_the_count_join(spark):
     """Without broadcasts, the posts rows of the hot key are split across tasks
-    (sf0.01: enough map outputs for the hot partition to be split)."""
+    (eight input pieces, as tables of many files have: a partition is split
+    between map outputs)."""
     lk = lake(spark, "/root/testdata/sf0.01")
-    g, p = skew(lk.geo, 3), skew(lk.posts, 3)
+    g, p = skew(lk.geo.repartition(8), 3), skew(lk.posts.repartition(8), 3)
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -84,7 +85,7 @@ def test_aqe_splits_the_hot_key_in_the_count_join(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        u = skew(lk.users, 3)
+        u = skew(lk.users.repartition(8), 3)
         for df in (q.category_counts_by_country(g, p), q.category_counts_by_age_group(u, p),
                    q.posts_per_category_year(g, p)):
             df.collect()
@@ -95,3 +96,30 @@ def test_aqe_splits_the_hot_key_in_the_count_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_both_joins_of_the_three_way_join_split_the_hot_key(spark):
+    def table(name):
+        # half of the rows share one key
+        return spark.range(0, 600, 1, 8).selectExpr("CASE WHEN id % 2 = 0 THEN 0L ELSE id END AS ind",
+                                                    f"sha2(cast(id AS string), 512) AS {name}")
+    g, u = table("country"), table("user_name")
+    p = table("category").withColumn("follower_count", F.lit(1))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        counted = q.join_three_way(g, p, u).agg(F.count("user_name").alias("n"), F.max("country"), F.max("category"),
+                                                     F.max("user_name"))
+        assert counted.first().n == 300 ** 3 + 300
+        counted.collect()
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[0].count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -9,7 +9,7 @@ import pytest
 from postlake.operators.clean import clean_users
 from postlake.operators.decode import to_records
 from postlake.schemas import RAW_USERS
-from postlake.streaming.streams import read_stream, start_clean_stream
+from postlake.streaming.streams import read_stream, start_clean_stream, start_options
 
 
 def batch(spark, start, n):
@@ -41,7 +41,13 @@ def test_shared_checkpoint_is_rejected(spark, tmp_path):
     src, ckpt = str(tmp_path / "src"), str(tmp_path / "ckpt")
     to_records(batch(spark, 0, 5)).write.text(src)
     run(spark, "users", src, "t_users_b", ckpt, str(tmp_path / "o1"))
-    with pytest.raises(ValueError):
+    # nothing is remembered in the process: the name is read from beside the checkpoint
+    assert (tmp_path / "ckpt.owner").read_text() == "t_users_b"
+    with pytest.raises(ValueError, match="t_users_b"):
+        start_clean_stream(spark, "users", src, "t_users_c", ckpt, path=str(tmp_path / "o2"))
+    (tmp_path / "ckpt.owner").rename(tmp_path / "moved")  # a checkpoint used by something else
+    (tmp_path / ".ckpt.owner.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="has been used"):
         start_clean_stream(spark, "users", src, "t_users_c", ckpt, path=str(tmp_path / "o2"))
 
 
@@ -63,3 +69,14 @@ def test_read_stream_payload_is_binary(spark, tmp_path):
     to_records(batch(spark, 0, 2)).write.text(src)
     df = read_stream(spark, src)
     assert df.isStreaming and df.dtypes == [("data", "binary")]
+
+
+def test_start_options_by_format():
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
+    assert start_options("kafka", at) == {"startingTimestamp": "1704164645000"}
+    assert start_options("kinesis", at) == {
+        "initialPosition": '{"at_timestamp": "01/02/2024 03:04:05 UTC", "format": "MM/dd/yyyy HH:mm:ss ZZZ"}'}
+    assert start_options("text", at) == start_options("rate", None) == {}
+    with pytest.raises(ValueError, match="rate"):
+        start_options("rate", at)
+
