@@ -38,6 +38,7 @@ and again, those concerned, for step 3.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +50,6 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from postlake.llm.common import text_key, with_python_columns
 from postlake.llm.components import components
-from postlake.llm.decontaminate import WORD, normal_words
 from postlake.session import scratch_path
 
 SHINGLE = 5
@@ -61,6 +61,9 @@ SIMILARITY = 0.8
 FUNCTIONS = 2
 SUB_FUNCTIONS = 4
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
 _ODD = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hashes
 _P = np.uint64(_ODD)
 
@@ -76,6 +79,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def plain_words(text: str | None) -> list[bytes]:
+    """The words of a text as they are compared: split at ASCII white space,
+    A-Z lower-cased, without ASCII marks at both ends (a word of marks only
+    stays as it is, so words and ``WORD``'s matches go together)."""
+    return [w.strip(_MARKS) or w for w in (text or "").encode("utf-8", "surrogatepass").lower().split()]
+
+
 def shingle_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of all runs of five words."""
     n = len(words)
@@ -178,7 +188,7 @@ def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def run(texts):
             n_words, keys = [], []
             for text in texts:
-                words = normal_words(text)
+                words = plain_words(text)
                 s = shingle_hashes(words)
                 n_words.append(len(words))
                 keys.append(np.unique(window_keys(s, *windows(s))[0]))
@@ -201,7 +211,7 @@ def _grid_runs(texts: DataFrame) -> DataFrame:
         for batch in batches:
             out = ([], [], [], [])
             for text, th, keys in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                s = shingle_hashes(normal_words(text))
+                s = shingle_hashes(plain_words(text))
                 l, c, r = windows(s)
                 key, of = window_keys(s, l, c, r)
                 kept = np.unique(of[np.isin(key, np.array(keys, np.int64))])
@@ -227,7 +237,7 @@ def _surroundings(texts: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for text, th, comp, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                s = shingle_hashes(normal_words(text))
+                s = shingle_hashes(plain_words(text))
                 l, c, r = windows(s)
                 key, of = window_keys(s, l, c, r)
                 chosen = np.isin(key, np.array(keys, np.int64))
@@ -304,8 +314,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Returns one row per input row: id, ``component_id`` (smallest id of the
     documents reachable through shared passages, itself included) and
     ``spans``: the parts of its text that repeat elsewhere, as disjoint (start,
-    end) in code points, end exclusive, by start.  Words are compared as runs of
-    letters and digits, A-Z lower-cased.
+    end) in code points, end exclusive, by start.  Words are those between ASCII
+    white space, compared with A-Z lower-cased and without ASCII marks at both
+    ends.
 
     Defined cases: NULL, empty and shorter texts have no passages and are alone
     in their component; copies of a longer text repeat as a whole; a passage
