@@ -40,6 +40,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -269,43 +270,53 @@ def _compare(s: pd.Series, at: pd.Series, hub_s: pd.Series, hub_at: pd.Series) -
 
 
 def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFrame, comp: DataFrame) -> DataFrame:
-    """Step 3: (th, other, first, end) of verified passages with a change inside."""
+    """Step 3: (th, other, first, end) of verified passages with a change inside.
+
+    Components merge as they are linked, and only groups that still span two
+    are looked at again; of a component's windows with one key the first and
+    the last text's stand for all."""
     named = kept.join(comp.withColumnRenamed("node", "th"), "th", "left") \
         .select("th", "rep_id", F.coalesce("component", "th").alias("comp"), F.explode("keys").alias("key"))
     open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    wanted = _write(named.join(open_keys, "key", "left_semi")
-                    .groupBy("th", "comp").agg(F.first("rep_id").alias("rep_id"), F.collect_set("key").alias("keys")), "open")
-    around = _write(_surroundings(_with_texts(docs, id_col, text_col, wanted)), "around")
-    subs = around.select("w", "th", "comp", F.explode("subs").alias("sub")).distinct()
-    groups = subs.groupBy("sub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sub")
-    subs = _write(subs.join(groups, "sub", "left_semi"), "subs")
-
+    text = F.struct("th", "rep_id")
+    stand = named.join(open_keys, "key", "left_semi").groupBy("key", "comp").agg(F.min(text).alias("a"), F.max(text).alias("b")) \
+        .select("key", "comp", F.explode(F.array_distinct(F.array("a", "b"))).alias("t"))
+    wanted = _write(stand.groupBy("t.th", "comp").agg(F.first("t.rep_id").alias("rep_id"), F.collect_set("key").alias("keys")),
+                    "open")
+    around = _write(_surroundings(_with_texts(docs, id_col, text_col, wanted)).dropDuplicates(["w"]), "around")
     side = ["w", "th", "at", "s", "first", "end"]
-    found, quiet, turn = None, 0, 0
-    spark = docs.sparkSession
+    a = around.select(*[F.col(c).alias("a_" + c) for c in side])
+    b = around.select(*[F.col(c).alias("b_" + c) for c in side])
+
+    def part(x: str, y: str, i: str, own: str, its: str) -> list:
+        return [F.col(f"{x}_th").alias("th"), F.col(f"{y}_th").alias("other"), F.get(f"{x}_first", F.col(i)).alias("first"),
+                F.get(f"{x}_end", F.col(i) + PASSAGE - 1).alias("end"), F.col(own).alias("u"), F.col(its).alias("v")]
+
+    subs = around.select("w", "comp", F.explode("subs").alias("sub")).distinct()
+    found, quiet, turn = [], 0, 0
     while quiet < 2:
         turn += 1
         # another window of each group takes its turn as the one that is compared with
-        order = F.xxhash64("w", F.lit(turn))
-        hubs = subs.groupBy("sub").agg(F.min_by(F.struct("w", "comp"), order).alias("hub"))
-        pairs = subs.join(hubs, "sub").where("comp != hub.comp").select("w", F.col("hub.w").alias("v")).distinct()
-        a = around.select(*[F.col(c).alias("a_" + c) for c in side])
-        b = around.select(*[F.col(c).alias("b_" + c) for c in side])
-        # a text may hold a window row more than once only if it is repeated as a row: one is enough
-        both = pairs.join(a.dropDuplicates(["a_w"]), F.col("w") == F.col("a_w")) \
-            .join(b.dropDuplicates(["b_w"]), F.col("v") == F.col("b_w")) \
+        hubs = subs.groupBy("sub").agg(F.min_by(F.struct("w", "comp"), F.xxhash64("w", F.lit(turn))).alias("hub"),
+                                       F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+        subs = _write(subs.join(hubs.select("sub", "hub"), "sub"), "groups")
+        pairs = subs.where("comp != hub.comp").groupBy("w", F.col("hub.w").alias("v")) \
+            .agg(F.first("comp").alias("c_w"), F.first("hub.comp").alias("c_v"))
+        subs = subs.drop("hub")
+        both = pairs.join(a, F.col("w") == F.col("a_w")).join(b, F.col("v") == F.col("b_w")) \
             .withColumn("m", _compare("a_s", "a_at", "b_s", "b_at")).where("m.a >= 0")
-
-        def part(x: str, y: str, i: str) -> list:
-            return [F.col(f"{x}_th").alias("th"), F.col(f"{y}_th").alias("other"),
-                    F.get(f"{x}_first", F.col(i)).alias("first"), F.get(f"{x}_end", F.col(i) + PASSAGE - 1).alias("end")]
-        new = _write(both.select(F.explode(F.array(F.struct(*part("a", "b", "m.a")), F.struct(*part("b", "a", "m.b")))).alias("x"))
+        new = _write(both.select(F.explode(F.array(F.struct(*part("a", "b", "m.a", "c_w", "c_v")),
+                                                   F.struct(*part("b", "a", "m.b", "c_v", "c_w")))).alias("x"))
                      .select("x.*").distinct(), "changed")
-        if found is not None:
-            new = _write(new.join(found, new.columns, "left_anti"), "changed_new")
-        quiet = 0 if new.limit(1).count() else quiet + 1
-        found = new if found is None else found.unionByName(new)
-    return spark.createDataFrame([], "th long, other long, first long, end long") if found is None else found
+        found.append(new.select("th", "other", "first", "end"))
+        if not new.limit(1).count():
+            quiet = quiet + 1 if subs.limit(1).count() else 2
+            continue
+        quiet = 0
+        merged = _write(components(new.select("u", "v")), "merged")
+        subs = subs.join(merged.withColumnRenamed("node", "comp"), "comp", "left") \
+            .select("w", F.coalesce("component", "comp").alias("comp"), "sub")
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,7 +325,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Returns one row per input row: id, ``component_id`` (smallest id of the
     documents reachable through shared passages, itself included) and
     ``spans``: the parts of its text that repeat elsewhere, as disjoint (start,
-    end) in code points, end exclusive, by start.  Words are those between ASCII
+    end) in code points, end exclusive, by start (equal runs of 45 words or
+    more, and the changed passages that were compared to link components).  Words are those between ASCII
     white space, compared with A-Z lower-cased and without ASCII marks at both
     ends.
 
