@@ -42,6 +42,19 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.lit("row"), F.coalesce(text, F.lit("")), text.isNull())
 
 
+#: Rows of an Arrow batch that Python holds as objects at a time.
+SLICE = 64
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows: a worker then needs memory for
+    few texts, whatever the batch size of the session."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+    pa.default_memory_pool().release_unused()
+
+
 def with_python_columns(df: DataFrame, inputs: list[str], outputs: StructType,
                         make: Callable[[], Callable], keep: list[str] | None = None,
                         where: str | None = None) -> DataFrame:
@@ -63,7 +76,7 @@ def with_python_columns(df: DataFrame, inputs: list[str], outputs: StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
+        for batch in slices(batches):
             lists = [batch.column(n_keep + i).to_pylist() for i in range(n_in)]
             arrays, names, mask = [batch.column(i) for i in range(n_keep)], list(keep), None
             for (name, kind), values in zip(types, f(*lists), strict=True):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, StringType, StructField,
                                StructType)
 
-from postlake.llm.common import materialised, text_key, with_python_columns
+from postlake.llm.common import materialised, slices, text_key, with_python_columns
 
 UNKNOWN = "und"
 CHUNK = 1 << 20  # code points hashed at a time: bounds the memory for a very long text
@@ -123,7 +123,7 @@ def document_frequencies(docs: DataFrame, text_col: str, bits: int) -> tuple[int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 total[gram_counts(text, bits)[0]] += 1
                 total[size] += 1
@@ -197,7 +197,7 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col
         names, weights_idf = sent.value
         number = {c: k for k, c in enumerate(names)}
         model = Ftrl(1 << bits, len(names), alpha, beta, l1, l2)
-        for batch in batches:
+        for batch in slices(batches):
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 model.learn(*vector(text, weights_idf, bits), number[label])
         w = model.weights(slice(None)).astype(np.float32)

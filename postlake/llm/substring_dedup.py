@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, Window
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from postlake.llm.common import text_key, with_python_columns
+from postlake.llm.common import slices, text_key, with_python_columns
 from postlake.llm.components import components
 from postlake.session import scratch_path
 
@@ -209,7 +209,7 @@ def _grid_runs(texts: DataFrame) -> DataFrame:
     """(run, th, first, end) for the kept windows' grid runs; first and end in
     code points of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = ([], [], [], [])
             for text, th, keys in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 s = shingle_hashes(plain_words(text))
@@ -235,7 +235,7 @@ def _surroundings(texts: DataFrame) -> DataFrame:
     fields = "w long, th long, comp long, at int, s array<long>, first array<long>, end array<long>, subs array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text, th, comp, keys in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 s = shingle_hashes(plain_words(text))
@@ -256,6 +256,9 @@ def _surroundings(texts: DataFrame) -> DataFrame:
                     rows.append({"w": xxhash.xxh64_intdigest(f"{th} {p} {k}") - (1 << 63), "th": th, "comp": comp, "at": p - lo,
                                  "s": s[lo:hi].view(np.int64).tolist(), "first": spans[lo:hi, 0].tolist(),
                                  "end": spans[lo + SHINGLE - 1:hi + SHINGLE - 1, 1].tolist(), "subs": subs})
+                    if len(rows) >= 500:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema)
     schema = pa.schema([("w", pa.int64()), ("th", pa.int64()), ("comp", pa.int64()), ("at", pa.int32()),
