@@ -23,8 +23,8 @@ chance phrases out; of a passage's 46 shingles one side always has eight.
    span two components, the windows' surroundings are hashed with further
    functions on both sides; windows that agree on one are compared with one
    window of that group, shingle set against shingle set, at the best of the
-   alignments around c.  Rounds with other such windows follow until two in a
-   row add no link.
+   alignments around c.  Linked components merge, and rounds with other such
+   windows follow until one adds no link.
 
 Exact repeats of 50 words are found with certainty.  A changed passage is found
 if a function's minimum is among the shared shingles and eight of them follow
@@ -157,6 +157,9 @@ def runs(s: np.ndarray, l: np.ndarray, c: np.ndarray, r: np.ndarray) -> tuple[np
 def similar(a: np.ndarray, at: int, b: np.ndarray, bt: int) -> tuple[int, int] | None:
     """The surroundings a, b of a shared shingle (at a[at] = b[bt]): first
     shingles of two passages around it that are near-duplicates, if any."""
+    one, two = set(a.tolist()), set(b.tolist())
+    if len(one) == len(a) and len(two) == len(b) and len(one & two) < RUN:
+        return None  # of two sets of 46, 41 have to be equal
     best, place = SIMILARITY, None
     for x in range(0, PASSAGE, 3):
         i, j = at - x, bt - x
@@ -243,6 +246,7 @@ def _surroundings(texts: DataFrame) -> DataFrame:
                 key, of = window_keys(s, l, c, r)
                 chosen = np.isin(key, np.array(keys, np.int64))
                 spans = np.array([m.span() for m in WORD.finditer(text)], np.int64)
+                low = [_mix(s + _seed(101 + j)) for j in range(SUB_FUNCTIONS)]
                 for k, w in set(zip(key[chosen].tolist(), of[chosen].tolist())):
                     p = int(c[w])
                     lo, hi = max(0, p - PASSAGE + 1), min(len(s), p + PASSAGE)
@@ -250,9 +254,8 @@ def _surroundings(texts: DataFrame) -> DataFrame:
                     for side, (a, b) in enumerate(((lo, p - SIDE), (p + SIDE + 1, hi), (max(lo, p - PASSAGE // 2), p - SIDE),
                                                    (p + SIDE + 1, min(hi, p + PASSAGE // 2)))):
                         if b - a >= 5:
-                            for j in range(SUB_FUNCTIONS):
-                                low = int(_mix(s[a:b] + _seed(101 + j)).min())
-                                subs.append(xxhash.xxh64_intdigest(f"{k} {side} {j} {low}") - (1 << 63))
+                            # the hash of a tuple of numbers is the same in every process
+                            subs += [hash((k, side, j, int(v[a:b].min()))) for j, v in enumerate(low)]
                     rows.append({"w": xxhash.xxh64_intdigest(f"{th} {p} {k}") - (1 << 63), "th": th, "comp": comp, "at": p - lo,
                                  "s": s[lo:hi].view(np.int64).tolist(), "first": spans[lo:hi, 0].tolist(),
                                  "end": spans[lo + SHINGLE - 1:hi + SHINGLE - 1, 1].tolist(), "subs": subs})
@@ -296,8 +299,8 @@ def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFra
                 F.get(f"{x}_end", F.col(i) + PASSAGE - 1).alias("end"), F.col(own).alias("u"), F.col(its).alias("v")]
 
     subs = around.select("w", "comp", F.explode("subs").alias("sub")).distinct()
-    found, quiet, turn = [], 0, 0
-    while quiet < 2:
+    found, quiet, turn = [], False, 0
+    while not quiet:
         turn += 1
         # another window of each group takes its turn as the one that is compared with
         hubs = subs.groupBy("sub").agg(F.min_by(F.struct("w", "comp"), F.xxhash64("w", F.lit(turn))).alias("hub"),
@@ -313,9 +316,8 @@ def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFra
                      .select("x.*").distinct(), "changed")
         found.append(new.select("th", "other", "first", "end"))
         if not new.limit(1).count():
-            quiet = quiet + 1 if subs.limit(1).count() else 2
+            quiet = True
             continue
-        quiet = 0
         merged = _write(components(new.select("u", "v")), "merged")
         subs = subs.join(merged.withColumnRenamed("node", "comp"), "comp", "left") \
             .select("w", F.coalesce("component", "comp").alias("comp"), "sub")
