@@ -22,14 +22,15 @@ chance phrases out; of a passage's 46 shingles one side always has eight.
 3. Passages with a change inside have no equal run.  Of the groups that still
    span two components, the windows' surroundings are hashed with further
    functions on both sides; windows that agree on one are compared with one
-   window of that group, shingle set against shingle set, at the best of the
+   window of that group, shingle set against shingle set, at the best of all
    alignments around c.  Linked components merge, and rounds with other such
    windows follow until one adds no link.
 
 Exact repeats of 50 words are found with certainty.  A changed passage is found
 if a function's minimum is among the shared shingles and eight of them follow
-or precede it: with two functions about 19 in 20 at a similarity of 0.8, more
-for longer passages, which have several windows.
+or precede it: 996 of 1,000 passages of 50 words with one inner word changed in
+foreign context (1,500 simulated, see README), more for longer passages, which
+have several windows.
 
 Copies collapse by a key of the text: one copy is worked on.  Every table that
 is shuffled has a few dozen narrow rows a text; texts move once for step 2,
@@ -154,25 +155,37 @@ def runs(s: np.ndarray, l: np.ndarray, c: np.ndarray, r: np.ndarray) -> tuple[np
     return _mix(h + _P).view(np.int64), start
 
 
+def _overlaps(a: np.ndarray, at: int, b: np.ndarray, bt: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shared and all distinct shingles of the passages that start ``x`` before
+    the shared shingle, for x in first..last."""
+    if len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b):
+        _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+        # a pair is inside both passages for x in a range: one up where it starts, one down behind it
+        low, high = np.maximum(at - i, bt - j), np.minimum(at - i, bt - j) + PASSAGE - 1
+        low, high = np.maximum(low, first), np.minimum(high, last)
+        ok = low <= high
+        step = np.bincount(low[ok] - first, minlength=last - first + 2) - np.bincount(high[ok] - first + 1, minlength=last - first + 2)
+        both = step.cumsum()[:-1]
+        return both, 2 * PASSAGE - both
+    both, every = [], []
+    for x in range(first, last + 1):
+        p, q = set(a[at - x:at - x + PASSAGE].tolist()), set(b[bt - x:bt - x + PASSAGE].tolist())
+        both.append(len(p & q))
+        every.append(len(p | q))
+    return np.array(both), np.array(every)
+
+
 def similar(a: np.ndarray, at: int, b: np.ndarray, bt: int) -> tuple[int, int] | None:
     """The surroundings a, b of a shared shingle (at a[at] = b[bt]): first
-    shingles of two passages around it that are near-duplicates, if any."""
-    one, two = set(a.tolist()), set(b.tolist())
-    if len(one) == len(a) and len(two) == len(b) and len(one & two) < RUN:
-        return None  # of two sets of 46, 41 have to be equal
-    best, place = SIMILARITY, None
-    for x in range(0, PASSAGE, 3):
-        i, j = at - x, bt - x
-        if i < 0 or j < 0 or i + PASSAGE > len(a) or j + PASSAGE > len(b):
-            continue
-        p, q = set(a[i:i + PASSAGE].tolist()), set(b[j:j + PASSAGE].tolist())
-        both = len(p & q)
-        score = both / (len(p) + len(q) - both)
-        if score >= best:
-            best, place = score, (i, j)
-            if score == 1.0:
-                break
-    return place
+    shingles of two passages around it that are near-duplicates, if any.  All
+    alignments are tried; the first of the best is returned."""
+    first, last = max(0, at + PASSAGE - len(a), bt + PASSAGE - len(b)), min(PASSAGE - 1, at, bt)
+    if first > last:
+        return None
+    both, every = _overlaps(a, at, b, bt, first, last)
+    score = both / every
+    k = int(score.argmax())
+    return (at - first - k, bt - first - k) if score[k] >= SIMILARITY else None
 
 
 def _write(df: DataFrame, name: str) -> DataFrame:

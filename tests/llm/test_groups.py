@@ -141,6 +141,32 @@ def test_passages_around_one_change_in_the_middle_are_compared():
     assert substring_dedup.similar(a, 44, c, 44) is None
 
 
+@pytest.mark.parametrize("word", [0, 7, 22, 49])
+def test_changed_passages_of_50_words_are_found_at_every_offset(word):
+    rnd = random.Random(word)
+    same = [x.encode() for x in _passage(rnd, 50)]
+    other = same[:word] + [b"other"] + same[word + 1:]
+    a, b = ([x.encode() for x in _passage(rnd, 60)] + p + [x.encode() for x in _passage(rnd, 60)] for p in (same, other))
+    s, t = substring_dedup.shingle_hashes(a), substring_dedup.shingle_hashes(b)
+    shared = [c for c in range(60, 60 + substring_dedup.PASSAGE) if s[c] == t[c]]
+    assert len(shared) == substring_dedup.PASSAGE - len(range(max(0, word - 4), min(45, word) + 1))
+    for c in shared:
+        got = substring_dedup.similar(s[c - 45:c + 46], 45, t[c - 45:c + 46], 45)
+        assert got is not None and (1 <= word <= 48) <= (got == (105 - c, 105 - c)), (c, got)
+
+
+def test_overlaps_equal_sets_of_shingles():
+    rng = np.random.default_rng(15)
+    for high in (40, 400, 1 << 40):
+        for _ in range(30):
+            a, b = rng.integers(0, high, 91, dtype=np.uint64), rng.integers(0, high, 80, dtype=np.uint64)
+            b[20:70] = a[25:75]
+            both, every = substring_dedup._overlaps(a, 45, b, 40, 11, 40)
+            for x in range(11, 41):
+                p, q = set(a[45 - x:91 - x].tolist()), set(b[40 - x:86 - x].tolist())
+                assert (both[x - 11], every[x - 11]) == (len(p & q), len(p | q))
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
