@@ -244,11 +244,17 @@ def _grid_runs(texts: DataFrame) -> DataFrame:
     return texts.select("text", "th", "keys").mapInArrow(run, "run long, th long, first long, end long")
 
 
+def _around(s: np.ndarray, p: int) -> tuple[int, int, int]:
+    """Bounds of the surroundings of the shingle at ``p``, ``PASSAGE`` - 1 to
+    both sides, and a key of what they hold and of the place of ``p``."""
+    lo, hi = max(0, p - PASSAGE + 1), min(len(s), p + PASSAGE)
+    return lo, hi, xxhash.xxh64_intdigest(s[lo:hi].tobytes(), seed=p - lo) - (1 << 63)
+
+
 def _surroundings(texts: DataFrame) -> DataFrame:
-    """Per kept window of the groups that span components: its shingles up to
-    ``PASSAGE`` - 1 to both sides, the code points of their words, and keys of
-    further minima on its sides (outside the 17 shingles around c)."""
-    fields = "w long, th long, comp long, at int, s array<long>, first array<long>, end array<long>, subs array<long>"
+    """Per minimum of the kept windows: its surroundings (w, at, s) and keys of
+    further minima on its sides (outside the 17 shingles around it)."""
+    fields = "w long, th long, comp long, at int, s array<long>, subs array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -258,83 +264,122 @@ def _surroundings(texts: DataFrame) -> DataFrame:
                 l, c, r = windows(s)
                 key, of = window_keys(s, l, c, r)
                 chosen = np.isin(key, np.array(keys, np.int64))
-                spans = np.array([m.span() for m in WORD.finditer(text)], np.int64)
                 low = [_mix(s + _seed(101 + j)) for j in range(SUB_FUNCTIONS)]
-                for k, w in set(zip(key[chosen].tolist(), of[chosen].tolist())):
-                    p = int(c[w])
-                    lo, hi = max(0, p - PASSAGE + 1), min(len(s), p + PASSAGE)
-                    subs = []
+                at: dict[int, set[int]] = {}
+                for k, p in zip(key[chosen].tolist(), c[of[chosen]].tolist()):
+                    at.setdefault(p, set()).add(k)
+                for p, own in at.items():
+                    lo, hi, w = _around(s, p)
+                    subs = set()
                     for side, (a, b) in enumerate(((lo, p - SIDE), (p + SIDE + 1, hi), (max(lo, p - PASSAGE // 2), p - SIDE),
                                                    (p + SIDE + 1, min(hi, p + PASSAGE // 2)))):
                         if b - a >= 5:
                             # the hash of a tuple of numbers is the same in every process
-                            subs += [hash((k, side, j, int(v[a:b].min()))) for j, v in enumerate(low)]
-                    rows.append({"w": xxhash.xxh64_intdigest(f"{th} {p} {k}") - (1 << 63), "th": th, "comp": comp, "at": p - lo,
-                                 "s": s[lo:hi].view(np.int64).tolist(), "first": spans[lo:hi, 0].tolist(),
-                                 "end": spans[lo + SHINGLE - 1:hi + SHINGLE - 1, 1].tolist(), "subs": subs})
+                            subs |= {hash((k, side, j, m)) for j, m in enumerate(int(v[a:b].min()) for v in low) for k in own}
+                    rows.append({"w": w, "th": th, "comp": comp, "at": p - lo, "s": s[lo:hi].view(np.int64).tolist(),
+                                 "subs": list(subs)})
                     if len(rows) >= 500:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema)
     schema = pa.schema([("w", pa.int64()), ("th", pa.int64()), ("comp", pa.int64()), ("at", pa.int32()),
-                        *((n, pa.list_(pa.int64())) for n in ("s", "first", "end", "subs"))])
+                        *((n, pa.list_(pa.int64())) for n in ("s", "subs"))])
     return texts.select("text", "th", "comp", "keys").mapInArrow(run, fields)
 
 
+def _places(texts: DataFrame) -> DataFrame:
+    """(th, first, end) in code points of the passages ``found`` (w, i): those
+    that start at shingle i of a text's surroundings w."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = ([], [], [])
+            for text, th, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                s = shingle_hashes(plain_words(text))
+                starts: dict[int, list[int]] = {}
+                for f in found:
+                    starts.setdefault(f["w"], []).append(f["i"])
+                first = set()
+                for p in set(windows(s)[1].tolist()):
+                    lo, _, w = _around(s, p)
+                    first.update(lo + i for i in starts.get(w, ()))
+                at = [m.span() for m in WORD.finditer(text)]
+                out[0].extend([th] * len(first))
+                out[1].extend(at[i][0] for i in first)
+                out[2].extend(at[i + PASSAGE + SHINGLE - 2][1] for i in first)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["th", "first", "end"])
+    return texts.select("text", "th", "found").mapInArrow(run, "th long, first long, end long")
+
+
 @F.pandas_udf(StructType([StructField("a", IntegerType()), StructField("b", IntegerType())]))
 def _compare(s: pd.Series, at: pd.Series, hub_s: pd.Series, hub_at: pd.Series) -> pd.DataFrame:
-    got = [similar(np.asarray(a), int(i), np.asarray(b), int(j)) or (-1, -1) for a, i, b, j in zip(s, at, hub_s, hub_at)]
+    got = [similar(np.asarray(a).view(np.uint64), int(i), np.asarray(b).view(np.uint64), int(j)) or (-1, -1)
+           for a, i, b, j in zip(s, at, hub_s, hub_at)]
     return pd.DataFrame(got, columns=["a", "b"])
 
 
-def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFrame, comp: DataFrame) -> DataFrame:
-    """Step 3: (th, other, first, end) of verified passages with a change inside.
+def _near(pairs: DataFrame, around: DataFrame) -> DataFrame:
+    """The pairs (w, v) that have a near-duplicate passage, with th, own and
+    comp of both and the passages' first shingles in the surroundings."""
+    a = around.select(*[F.col(c).alias("a_" + c) for c in ("w", "th", "own", "at", "s")])
+    b = around.select(*[F.col(c).alias("b_" + c) for c in ("w", "th", "own", "at", "s")])
+    both = pairs.join(a, F.col("w") == F.col("a_w")).join(b, F.col("v") == F.col("b_w")) \
+        .withColumn("m", _compare("a_s", "a_at", "b_s", "b_at")).where("m.a >= 0")
+    return _write(both.select("w", "v", "c_w", "c_v", "a_th", "b_th", "a_own", "b_own", F.col("m.a").alias("i"),
+                              F.col("m.b").alias("j")), "changed")
 
-    Components merge as they are linked, and only groups that still span two
-    are looked at again; of a component's windows with one key the first and
-    the last text's stand for all."""
-    named = kept.join(comp.withColumnRenamed("node", "th"), "th", "left") \
-        .select("th", "rep_id", F.coalesce("component", "th").alias("comp"), F.explode("keys").alias("key"))
-    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    text = F.struct("th", "rep_id")
-    stand = named.join(open_keys, "key", "left_semi").groupBy("key", "comp").agg(F.min(text).alias("a"), F.max(text).alias("b")) \
-        .select("key", "comp", F.explode(F.array_distinct(F.array("a", "b"))).alias("t"))
-    wanted = _write(stand.groupBy("t.th", "comp").agg(F.first("t.rep_id").alias("rep_id"), F.collect_set("key").alias("keys")),
-                    "open")
-    around = _write(_surroundings(_with_texts(docs, id_col, text_col, wanted)).dropDuplicates(["w"]), "around")
-    side = ["w", "th", "at", "s", "first", "end"]
-    a = around.select(*[F.col(c).alias("a_" + c) for c in side])
-    b = around.select(*[F.col(c).alias("b_" + c) for c in side])
-
-    def part(x: str, y: str, i: str, own: str, its: str) -> list:
-        return [F.col(f"{x}_th").alias("th"), F.col(f"{y}_th").alias("other"), F.get(f"{x}_first", F.col(i)).alias("first"),
-                F.get(f"{x}_end", F.col(i) + PASSAGE - 1).alias("end"), F.col(own).alias("u"), F.col(its).alias("v")]
-
-    subs = around.select("w", "comp", F.explode("subs").alias("sub")).distinct()
+
+def _compared(around: DataFrame) -> DataFrame:
+    """(w, v, a_th, b_th, a_own, b_own, i, j) of verified pairs of surroundings.
+
+    In rounds, the surroundings of a group (those that agree on one of ``subs``)
+    are compared with one of them, until a round adds no link.
+    """
+    subs = around.select("w", "comp", F.explode("subs").alias("sub"))
     found, quiet, turn = [], False, 0
     while not quiet:
         turn += 1
-        # another window of each group takes its turn as the one that is compared with
+        # another member of each group takes its turn as the one that is compared with
         hubs = subs.groupBy("sub").agg(F.min_by(F.struct("w", "comp"), F.xxhash64("w", F.lit(turn))).alias("hub"),
                                        F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
         subs = _write(subs.join(hubs.select("sub", "hub"), "sub"), "groups")
         pairs = subs.where("comp != hub.comp").groupBy("w", F.col("hub.w").alias("v")) \
             .agg(F.first("comp").alias("c_w"), F.first("hub.comp").alias("c_v"))
         subs = subs.drop("hub")
-        both = pairs.join(a, F.col("w") == F.col("a_w")).join(b, F.col("v") == F.col("b_w")) \
-            .withColumn("m", _compare("a_s", "a_at", "b_s", "b_at")).where("m.a >= 0")
-        new = _write(both.select(F.explode(F.array(F.struct(*part("a", "b", "m.a", "c_w", "c_v")),
-                                                   F.struct(*part("b", "a", "m.b", "c_v", "c_w")))).alias("x"))
-                     .select("x.*").distinct(), "changed")
-        found.append(new.select("th", "other", "first", "end"))
+        new = _near(pairs, around)
+        found.append(new.drop("c_w", "c_v"))
         if not new.limit(1).count():
             quiet = True
             continue
-        merged = _write(components(new.select("u", "v")), "merged")
+        merged = _write(components(new.select(F.col("c_w").alias("u"), F.col("c_v").alias("v"))), "merged")
         subs = subs.join(merged.withColumnRenamed("node", "comp"), "comp", "left") \
             .select("w", F.coalesce("component", "comp").alias("comp"), "sub")
-    return reduce(DataFrame.unionByName, found).distinct()
+    return reduce(DataFrame.unionByName, found)
+
+
+def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Step 3: links (u, v) and spans (th, first, end) of verified passages with
+    a change inside.
+
+    Equal surroundings are one row, whose texts step 2 has linked; all distinct
+    ones are compared.  Those of several texts repeat as a whole, which gives
+    their spans in step 2; the others belong to one text (``own``)."""
+    named = kept.join(comp.withColumnRenamed("node", "th"), "th", "left") \
+        .select("th", "rep_id", F.coalesce("component", "th").alias("comp"), F.explode("keys").alias("key"))
+    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    wanted = _write(named.join(open_keys, "key", "left_semi").groupBy("th", "comp")
+                    .agg(F.first("rep_id").alias("rep_id"), F.collect_set("key").alias("keys")), "open")
+    around = _surroundings(_with_texts(docs, id_col, text_col, wanted)).groupBy("w") \
+        .agg(F.min("th").alias("th"), F.max("th").alias("hi"), F.min("comp").alias("comp"),
+             *[F.first(c).alias(c) for c in ("at", "s", "subs")]) \
+        .withColumn("own", F.expr("if(th = hi, th, null)")).drop("hi")
+    found = _compared(_write(around, "around"))
+    sides = F.array(F.struct(F.col("a_own").alias("th"), "w", "i"),
+                    F.struct(F.col("b_own").alias("th"), F.col("v").alias("w"), F.col("j").alias("i")))
+    places = found.select(F.explode(sides).alias("x")).select("x.*").where("th is not null") \
+        .groupBy("th").agg(F.collect_set(F.struct("w", "i")).alias("found"))
+    spans = _places(_with_texts(docs, id_col, text_col, kept.select("th", "rep_id").join(places, "th")))
+    return found.select(F.col("a_th").alias("u"), F.col("b_th").alias("v")).distinct(), spans
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -371,14 +416,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     equal = _write(grid.join(classes, ["run", "check"]).select("th", F.col("lo").alias("other"), "first", "end").distinct(), "equal")
     links = equal.where("th != other").select(F.col("th").alias("u"), F.col("other").alias("v")).distinct()
     comp = _write(components(links), "components")
-    changed = _changed_passages(docs, id_col, text_col, kept, comp)
-    more = changed.select(F.col("th").alias("u"), F.col("other").alias("v")).distinct()
+    more, changed = _changed_passages(docs, id_col, text_col, kept, comp)
     if more.limit(1).count():
         stars = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
         comp = components(stars.unionByName(more))
 
     # spans of each text: overlapping ones become one
-    every = equal.select("th", "first", "end").unionByName(changed.select("th", "first", "end")).distinct()
+    every = equal.select("th", "first", "end").unionByName(changed).distinct()
     order = Window.partitionBy("th").orderBy("first", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = every.withColumn("new", (F.col("first") > F.coalesce(reach, F.lit(-1))).cast("int")) \

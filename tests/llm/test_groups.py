@@ -167,6 +167,31 @@ def test_overlaps_equal_sets_of_shingles():
                 assert (both[x - 11], every[x - 11]) == (len(p & q), len(p | q))
 
 
+def _around_a_phrase(rnd, pairs):
+    """Pairs of near-duplicate passages of 50 words that all hold one phrase of
+    30 words, found in all of them by a minimum in the phrase and by no other."""
+    def least(phrase):
+        s = substring_dedup.shingle_hashes([w.encode() for w in phrase])[8:-8]
+        return max(int(substring_dedup._mix(s + substring_dedup._seed(j + 1)).min()) for j in range(substring_dedup.FUNCTIONS))
+    phrase = min((_passage(rnd, 30) for _ in range(3000)), key=least)
+    out = []
+    for i in range(pairs):
+        left, right = _passage(rnd, 10), _passage(rnd, 10)
+        out.append([left + phrase + right, left + phrase + right[:4] + [f"new{i}"] + right[5:]])
+    return out
+
+
+def test_every_variant_in_a_component_is_compared(spark):
+    rnd = random.Random(20)
+    footer = _passage(rnd, 60)
+    texts = []
+    for one, two in _around_a_phrase(rnd, 8):
+        texts.append(" ".join(_passage(rnd, 70) + one + _passage(rnd, 70) + footer))
+        texts.append(" ".join(two))  # no room for a window around another minimum
+    out = substring_dedup.repeated_passages(frame(spark, texts)).collect()
+    assert [r["component_id"] for r in out] == [0] * len(texts)
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
