@@ -19,12 +19,13 @@ chance phrases out; of a passage's 46 shingles one side always has eight.
    one class.  A shared passage always has such a run, and 41 of 46 equal
    shingles make a similarity of 0.8, so all pairs of a class are verified and
    a class is linked to one of its texts.
-3. Passages with a change inside have no equal run.  Of the groups that still
-   span two components, the windows' surroundings are hashed with further
-   functions on both sides; windows that agree on one are compared with one
-   window of that group, shingle set against shingle set, at the best of all
-   alignments around c.  Linked components merge, and rounds with other such
-   windows follow until one adds no link.
+3. Passages with a change inside have no equal run.  Of the keys that still span two
+   components, the
+   distinct surroundings of the windows are hashed with further functions on
+   both sides; those that agree on one are a group.  All of a group are
+   compared with one of them, shingle set against shingle set, at the best of
+   all alignments around c; linked components merge; and when such rounds no
+   longer pay, all pairs that are not yet in one component are compared.
 
 Exact repeats of 50 words are found with certainty.  A changed passage is found
 if a function's minimum is among the shared shingles and eight of them follow
@@ -332,29 +333,45 @@ def _near(pairs: DataFrame, around: DataFrame) -> DataFrame:
 def _compared(around: DataFrame) -> DataFrame:
     """(w, v, a_th, b_th, a_own, b_own, i, j) of verified pairs of surroundings.
 
-    In rounds, the surroundings of a group (those that agree on one of ``subs``)
-    are compared with one of them, until a round adds no link.
+    A group are the surroundings that agree on one of ``subs``.  In rounds, all of
+    a group are compared with one of them, and linked components merge.  While
+    that at least halves what is left, another member takes its turn; then all
+    pairs that are left are compared, so what comes out does not depend on the
+    rounds.  Left are the pairs of a group that lie in different components.
     """
-    subs = around.select("w", "comp", F.explode("subs").alias("sub"))
-    found, quiet, turn = [], False, 0
-    while not quiet:
-        turn += 1
-        # another member of each group takes its turn as the one that is compared with
-        hubs = subs.groupBy("sub").agg(F.min_by(F.struct("w", "comp"), F.xxhash64("w", F.lit(turn))).alias("hub"),
-                                       F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-        subs = _write(subs.join(hubs.select("sub", "hub"), "sub"), "groups")
-        pairs = subs.where("comp != hub.comp").groupBy("w", F.col("hub.w").alias("v")) \
-            .agg(F.first("comp").alias("c_w"), F.first("hub.comp").alias("c_v"))
-        subs = subs.drop("hub")
+    rows = around.select("w", "own", "comp", F.explode("subs").alias("sub"))
+    rows = _write(rows.join(rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sub"), "sub", "left_semi"), "groups")
+    found, before, turn = [], None, 0
+    while True:
+        # a group's largest component needs no look at itself
+        top = rows.groupBy("sub", "comp").agg(F.count(F.lit(1)).alias("n")) \
+            .groupBy("sub").agg(F.max(F.struct("n", "comp")).alias("top"))
+        rows = _write(rows.join(top, "sub").withColumn("late", F.col("comp") != F.col("top.comp")).drop("top"), "groups")
+        left = rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("late").cast("long")).alias("late")) \
+            .where("late > 0")
+        count = left.agg(F.sum(F.col("n").cast("double") * F.col("late"))).first()[0] or 0.0
+        if not count:
+            break
+        rows = rows.join(left.select("sub"), "sub", "left_semi")
+        if before is not None and count > before / 2:
+            one = rows.where("late").select("sub", *[F.col(c).alias("l_" + c) for c in ("w", "own", "comp")])
+            pairs = one.join(rows, "sub").where("l_w != w and coalesce(l_own != own, true) and l_comp != comp")
+            pairs = pairs.groupBy(F.least("l_w", "w").alias("w_"), F.greatest("l_w", "w").alias("v")) \
+                .agg(F.min("comp").alias("c_w"), F.min("l_comp").alias("c_v")).withColumnRenamed("w_", "w")
+            found.append(_near(pairs, around).drop("c_w", "c_v"))
+            break
+        before, turn = count, turn + 1
+        hubs = rows.groupBy("sub").agg(F.min_by(F.struct(*("w", "own", "comp")), F.xxhash64("w", F.lit(turn))).alias("hub"))
+        rows = _write(rows.join(hubs, "sub"), "groups")
+        pairs = rows.where("w != hub.w and coalesce(own != hub.own, true) and comp != hub.comp") \
+            .groupBy("w", F.col("hub.w").alias("v")).agg(F.first("comp").alias("c_w"), F.first("hub.comp").alias("c_v"))
         new = _near(pairs, around)
         found.append(new.drop("c_w", "c_v"))
-        if not new.limit(1).count():
-            quiet = True
-            continue
         merged = _write(components(new.select(F.col("c_w").alias("u"), F.col("c_v").alias("v"))), "merged")
-        subs = subs.join(merged.withColumnRenamed("node", "comp"), "comp", "left") \
-            .select("w", F.coalesce("component", "comp").alias("comp"), "sub")
-    return reduce(DataFrame.unionByName, found)
+        rows = rows.join(merged.withColumnRenamed("node", "comp"), "comp", "left") \
+            .select("sub", "w", "own", F.coalesce("component", "comp").alias("comp"))
+    return reduce(DataFrame.unionByName, found) if found else around.sparkSession.createDataFrame(
+        [], "w long, v long, a_th long, b_th long, a_own long, b_own long, i int, j int")
 
 
 def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:

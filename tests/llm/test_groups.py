@@ -192,6 +192,20 @@ def test_every_variant_in_a_component_is_compared(spark):
     assert [r["component_id"] for r in out] == [0] * len(texts)
 
 
+def test_all_pairs_of_a_group_are_linked_whatever_the_hubs(spark):
+    """One group in which only pairs are alike; a hub is unlike nearly all."""
+    rnd = random.Random(21)
+    rows = []
+    for i, (one, two) in enumerate(_around_a_phrase(rnd, 12)):
+        for k, words in enumerate((one, two)):
+            s = substring_dedup.shingle_hashes([w.encode() for w in words])
+            n = 2 * i + k
+            rows.append((n, n, n, n, 20, s.view(np.int64).tolist(), [7, 100 + n]))
+    around = spark.createDataFrame(rows, "w long, th long, own long, comp long, at int, s array<long>, subs array<long>")
+    got = {tuple(sorted((r["w"], r["v"]))) for r in substring_dedup._compared(around).collect()}
+    assert got == {(2 * i, 2 * i + 1) for i in range(12)}
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
