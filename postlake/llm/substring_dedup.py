@@ -19,13 +19,13 @@ chance phrases out; of a passage's 46 shingles one side always has eight.
    one class.  A shared passage always has such a run, and 41 of 46 equal
    shingles make a similarity of 0.8, so all pairs of a class are verified and
    a class is linked to one of its texts.
-3. Passages with a change inside have no equal run.  Of the keys that still span two
-   components, the
+3. Passages with a change inside have no equal run.  The
    distinct surroundings of the windows are hashed with further functions on
    both sides; those that agree on one are a group.  All of a group are
    compared with one of them, shingle set against shingle set, at the best of
    all alignments around c; linked components merge; and when such rounds no
-   longer pay, all pairs that are not yet in one component are compared.
+   longer pay, all pairs that are not in one component or
+   have found no match are compared.
 
 Exact repeats of 50 words are found with certainty.  A changed passage is found
 if a function's minimum is among the shared shingles and eight of them follow
@@ -337,16 +337,19 @@ def _compared(around: DataFrame) -> DataFrame:
     a group are compared with one of them, and linked components merge.  While
     that at least halves what is left, another member takes its turn; then all
     pairs that are left are compared, so what comes out does not depend on the
-    rounds.  Left are the pairs of a group that lie in different components.
+    rounds.  Left are the pairs of a group that lie in different components,
+    and those of which one has found no match in the group yet (``open``; one of
+    several texts has one by its equal copies).
     """
     rows = around.select("w", "own", "comp", F.explode("subs").alias("sub"))
-    rows = _write(rows.join(rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sub"), "sub", "left_semi"), "groups")
+    rows = _write(rows.join(rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sub"), "sub", "left_semi")
+                  .withColumn("open", F.col("own").isNotNull()), "groups")
     found, before, turn = [], None, 0
     while True:
         # a group's largest component needs no look at itself
         top = rows.groupBy("sub", "comp").agg(F.count(F.lit(1)).alias("n")) \
             .groupBy("sub").agg(F.max(F.struct("n", "comp")).alias("top"))
-        rows = _write(rows.join(top, "sub").withColumn("late", F.col("comp") != F.col("top.comp")).drop("top"), "groups")
+        rows = _write(rows.join(top, "sub").withColumn("late", F.col("open") | (F.col("comp") != F.col("top.comp"))).drop("top"), "groups")
         left = rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("late").cast("long")).alias("late")) \
             .where("late > 0")
         count = left.agg(F.sum(F.col("n").cast("double") * F.col("late"))).first()[0] or 0.0
@@ -354,22 +357,27 @@ def _compared(around: DataFrame) -> DataFrame:
             break
         rows = rows.join(left.select("sub"), "sub", "left_semi")
         if before is not None and count > before / 2:
-            one = rows.where("late").select("sub", *[F.col(c).alias("l_" + c) for c in ("w", "own", "comp")])
-            pairs = one.join(rows, "sub").where("l_w != w and coalesce(l_own != own, true) and l_comp != comp")
+            one = rows.where("late").select("sub", *[F.col(c).alias("l_" + c) for c in ("w", "own", "comp", "open")])
+            pairs = one.join(rows, "sub").where("l_w != w and coalesce(l_own != own, true) and (l_open or open or l_comp != comp)")
             pairs = pairs.groupBy(F.least("l_w", "w").alias("w_"), F.greatest("l_w", "w").alias("v")) \
                 .agg(F.min("comp").alias("c_w"), F.min("l_comp").alias("c_v")).withColumnRenamed("w_", "w")
             found.append(_near(pairs, around).drop("c_w", "c_v"))
             break
         before, turn = count, turn + 1
-        hubs = rows.groupBy("sub").agg(F.min_by(F.struct(*("w", "own", "comp")), F.xxhash64("w", F.lit(turn))).alias("hub"))
+        hubs = rows.groupBy("sub").agg(F.min_by(F.struct(*("w", "own", "comp", "open")), F.xxhash64("w", F.lit(turn))).alias("hub"))
         rows = _write(rows.join(hubs, "sub"), "groups")
-        pairs = rows.where("w != hub.w and coalesce(own != hub.own, true) and comp != hub.comp") \
+        pairs = rows.where("w != hub.w and coalesce(own != hub.own, true) and (open or hub.open or comp != hub.comp)") \
             .groupBy("w", F.col("hub.w").alias("v")).agg(F.first("comp").alias("c_w"), F.first("hub.comp").alias("c_v"))
         new = _near(pairs, around)
         found.append(new.drop("c_w", "c_v"))
+        match = new.select("w", F.col("v").alias("hub_w"), F.lit(True).alias("match"))
+        rows = rows.withColumn("hub_w", F.col("hub.w")).join(match, ["w", "hub_w"], "left")
+        met = rows.where("match").select("sub").distinct().withColumn("met", F.lit(True))
+        rows = rows.join(met, "sub", "left") \
+            .withColumn("open", F.expr("open and match is null and not (w = hub_w and met is not null)"))
         merged = _write(components(new.select(F.col("c_w").alias("u"), F.col("c_v").alias("v"))), "merged")
         rows = rows.join(merged.withColumnRenamed("node", "comp"), "comp", "left") \
-            .select("sub", "w", "own", F.coalesce("component", "comp").alias("comp"))
+            .select("sub", "w", "own", F.coalesce("component", "comp").alias("comp"), "open")
     return reduce(DataFrame.unionByName, found) if found else around.sparkSession.createDataFrame(
         [], "w long, v long, a_th long, b_th long, a_own long, b_own long, i int, j int")
 
@@ -381,11 +389,8 @@ def _changed_passages(docs: DataFrame, id_col: str, text_col: str, kept: DataFra
     Equal surroundings are one row, whose texts step 2 has linked; all distinct
     ones are compared.  Those of several texts repeat as a whole, which gives
     their spans in step 2; the others belong to one text (``own``)."""
-    named = kept.join(comp.withColumnRenamed("node", "th"), "th", "left") \
-        .select("th", "rep_id", F.coalesce("component", "th").alias("comp"), F.explode("keys").alias("key"))
-    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    wanted = _write(named.join(open_keys, "key", "left_semi").groupBy("th", "comp")
-                    .agg(F.first("rep_id").alias("rep_id"), F.collect_set("key").alias("keys")), "open")
+    wanted = kept.join(comp.withColumnRenamed("node", "th"), "th", "left") \
+        .select("th", "rep_id", F.coalesce("component", "th").alias("comp"), "keys")
     around = _surroundings(_with_texts(docs, id_col, text_col, wanted)).groupBy("w") \
         .agg(F.min("th").alias("th"), F.max("th").alias("hi"), F.min("comp").alias("comp"),
              *[F.first(c).alias(c) for c in ("at", "s", "subs")]) \
@@ -406,7 +411,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     documents reachable through shared passages, itself included) and
     ``spans``: the parts of its text that repeat elsewhere, as disjoint (start,
     end) in code points, end exclusive, by start (equal runs of 45 words or
-    more, and the changed passages that were compared to link components).  Words are those between ASCII
+    more, and per window and group of step 3 a changed passage).  Words are those between ASCII
     white space, compared with A-Z lower-cased and without ASCII marks at both
     ends.
 

@@ -206,6 +206,20 @@ def test_all_pairs_of_a_group_are_linked_whatever_the_hubs(spark):
     assert got == {(2 * i, 2 * i + 1) for i in range(12)}
 
 
+def test_changed_passages_inside_a_component_have_spans(spark):
+    rnd = random.Random(22)
+    footer = _passage(rnd, 60)
+    planted = [p for pair in _around_a_phrase(rnd, 4) for p in pair]
+    texts = [" ".join(_passage(rnd, 70) + p + _passage(rnd, 70) + footer) for p in planted]
+    for r in substring_dedup.repeated_passages(frame(spark, texts)).collect():
+        assert r["component_id"] == 0
+        text, passage = texts[r["doc_id"]], " ".join(planted[r["doc_id"]])
+        for part in (passage, " ".join(footer)):
+            at = text.index(part)
+            # a 45-word run is enough for a span, so up to a grid step is missing at each end
+            assert any(s["start"] <= at + 40 and s["end"] >= at + len(part) - 40 for s in r["spans"]), (r, at)
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
