@@ -12,9 +12,9 @@ two filters, which together keep what looks random and cannot well be text:
 * false-discovery control against ordinary text.  Under that null the
   p-value is bounded by how few symbols coincide (text repeats its letters,
   Poisson tail bound) or, for hex, by how unlikely text keeps to a-f.  Both
-  bounds sharpen with length.  Benjamini-Hochberg runs over all tokens of the
-  corpus within each length band, so short tokens, which are many, pay for
-  their number.  P-values are rounded up to quarter decades, so the ranks
+  bounds sharpen with length.  Benjamini-Hochberg runs over all distinct tokens
+  of the corpus within each length band, so short tokens, which are many, pay
+  for their number, and a boilerplate line counts once.  P-values are rounded up to quarter decades, so the ranks
   come from a histogram of bands and bins instead of a sort of all tokens.
 
 DataFrame functions only.  The texts are read once; what is found is written
@@ -133,9 +133,9 @@ def battery(tokens: DataFrame) -> DataFrame:
 
 
 def thresholds(tested: DataFrame, q: float) -> DataFrame:
-    """Benjamini-Hochberg per length band: (band, least_bin).  One row a band,
-    none where nothing is discovered."""
-    hist = tested.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("c"))
+    """Benjamini-Hochberg over the distinct tokens of each length band: (band,
+    least_bin).  One row a band, none where nothing is discovered."""
+    hist = tested.select("tok", "band", "bin").distinct().groupBy("band", "bin").agg(F.count(F.lit(1)).alias("c"))
     whole = Window.partitionBy("band")
     above = whole.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = hist.select("band", "bin", F.sum("c").over(above).alias("rank"), F.sum("c").over(whole).alias("m"))
@@ -155,7 +155,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out.
 
     Defined cases: a NULL or empty text has an empty array; repeated rows and
-    ids are rows of their own, each counted in the false-discovery control.
+    ids are rows of their own; a token counts once in the false-discovery
+    control, however often it occurs.
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     found = docs.select(docs[id_col].alias("id"), find_matches(text).alias("m"))

@@ -307,6 +307,14 @@ def test_random_tokens_are_told_from_text(spark):
     assert min(hit[0], hit[1], hit[6]) >= 19 and max(hit[2], hit[3], hit[4], hit[5], hit[7]) == 0
 
 
+def test_a_token_of_boilerplate_counts_once(spark):
+    rnd = random.Random(23)
+    keys = ["".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(32)) for _ in range(40)]
+    texts = [f"see {k} here" for k in keys] + ["see some/long/path-name/with-words/xyz here"] * 4000
+    found = {r["doc_id"] for r in secret_scan.scan_secrets(frame(spark, texts)).collect() if r["found"]}
+    assert len(found) >= 20 and max(found) < 40
+
+
 def test_secrets_awkward_rows(spark):
     df = awkward(spark)
     out = secret_scan.scan_secrets(df).collect()
