@@ -2,7 +2,8 @@
 shingle containment.
 
 A template is a license notice.  Templates of like length share a window width
-and stride, chosen so that an occurrence always lies whole in some window.
+and stride, chosen so that an occurrence lies whole in some window, unless words
+put in make it longer than the template's shingles by more than the slack.
 Windows and templates have MinHash signatures over five-word shingles; a window
 retrieves the templates with which it agrees on a whole band.  The number of
 bands is set per class so that a window that holds an occurrence with
