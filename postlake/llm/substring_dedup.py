@@ -14,7 +14,7 @@ chance phrases out; of a passage's 46 shingles one side always has eight.
 
 1. Windows whose key occurs in two different texts are kept (a semi-join on
    keys; no pairs).
-2. Interval join: within a kept window, every run of 41 shingles that contains
+2. Equal runs (in place of an interval join): within a kept window, every run of 41 shingles that contains
    c and starts on a grid of 6 around it is hashed.  Runs that are equal are
    one class.  A shared passage always has such a run, and 41 of 46 equal
    shingles make a similarity of 0.8, so all pairs of a class are verified and
