@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, Window
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from postlake.llm.common import slices, text_key, with_python_columns
+from postlake.llm.common import WHITE_SPACE, slices, text_key, with_python_columns
 from postlake.llm.components import components
 from postlake.session import scratch_path
 
@@ -198,22 +198,25 @@ def _write(df: DataFrame, name: str) -> DataFrame:
 
 
 def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, th (key of the text), n_words, first and end (code points
-    of its words), keys (distinct)."""
+    """Per row: id, th (key of the text), n_words, begin and stop (code points
+    of its first word's start and its last word's end), keys (distinct)."""
     src = docs.select(docs[id_col].alias("id"), text_key(docs[text_col]).alias("th"), docs[text_col].alias("text"))
 
     def make():
         def run(texts):
-            n_words, keys = [], []
+            n_words, begin, stop, keys = [], [], [], []
             for text in texts:
                 words = plain_words(text)
                 s = shingle_hashes(words)
                 n_words.append(len(words))
+                begin.append(len(text or "") - len((text or "").lstrip(WHITE_SPACE)))
+                stop.append(len((text or "").rstrip(WHITE_SPACE)))
                 keys.append(np.unique(window_keys(s, *windows(s))[0]))
-            return n_words, keys
+            return n_words, begin, stop, keys
         return run
     return with_python_columns(src, ["text"], StructType([
-        StructField("n_words", LongType()), StructField("keys", ArrayType(LongType()))]), make, keep=["id", "th"])
+        StructField("n_words", LongType()), StructField("begin", LongType()), StructField("stop", LongType()),
+        StructField("keys", ArrayType(LongType()))]), make, keep=["id", "th"])
 
 
 def _with_texts(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -456,8 +459,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     least = texts.groupBy("group").agg(F.min("rep").alias("first_rep"))
     named = texts.join(least, "group").join(spans, "th", "left") \
         .select(F.col("th").alias("t"), "first_rep", "spans", "copies")
-    out = base.select("id", "th", "n_words").join(named, F.col("th") == F.col("t"), "left")
+    out = base.select("id", "th", "begin", "stop").join(named, F.col("th") == F.col("t"), "left")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return out.select(F.col("id").alias(id_col),
                       F.when(F.col("t").isNotNull(), F.col("first_rep.id")).otherwise(F.col("id")).alias("component_id"),
-                      F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("spans", none).alias("spans"))
+                      F.coalesce("copies", F.lit(1)).alias("copies"), F.when(F.col("copies") > 1, F.array(F.struct(F.col("begin").alias("start"), F.col("stop").alias("end"))))
+                      .otherwise(F.coalesce("spans", none)).alias("spans"))

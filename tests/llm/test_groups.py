@@ -220,6 +220,14 @@ def test_changed_passages_inside_a_component_have_spans(spark):
             assert any(s["start"] <= at + 40 and s["end"] >= at + len(part) - 40 for s in r["spans"]), (r, at)
 
 
+def test_exact_copies_repeat_as_a_whole(spark):
+    rnd = random.Random(24)
+    text = " \n\u00a0\u00e9 " + " ".join(_passage(rnd, 55)) + "\t "
+    out = substring_dedup.repeated_passages(frame(spark, [text, text, " ".join(_passage(rnd, 55)), None, "short", "short"])).collect()
+    by = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in out}
+    assert by == {0: [(2, len(text) - 2)], 1: [(2, len(text) - 2)], 2: [], 3: [], 4: [], 5: []}
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
