@@ -194,6 +194,18 @@ ORACLE: dict[str, str] = {
     "stream_users": _with("SELECT * FROM clean_users"),
 }
 
+ORACLE["stream_fanout"] = _with("""
+SELECT 'posts' AS kind, ind, category AS label, follower_count AS number FROM clean_posts
+UNION ALL SELECT 'geo', ind, country, CAST(year("timestamp") AS INTEGER) FROM clean_geo
+UNION ALL SELECT 'users', ind, user_name, age FROM clean_users""")
+
+# The exact median has a rank error of 0; the stored sketches may be off by 1 % of a group's rows.
+ORACLE["median_followers_sketch"] = _with(f"""
+SELECT 'age_group' AS grouping, u.age_group, CAST(NULL AS INTEGER) AS year_joined, count(p.follower_count) AS n_rows,
+  true AS within_1_percent FROM {_UP} GROUP BY u.age_group
+UNION ALL SELECT 'year_joined', NULL, {_YEAR_JOINED}, count(p.follower_count), true FROM {_UP} GROUP BY 3
+UNION ALL SELECT 'age_group,year_joined', u.age_group, {_YEAR_JOINED}, count(p.follower_count), true FROM {_UP} GROUP BY 2, 3""")
+
 # The SQL-text forms answer the same questions.
 for _name in ("category_counts_by_country", "top_category_by_country", "posts_per_category_year",
               "top_category_by_year", "top_user_by_country", "top_country_by_followers",

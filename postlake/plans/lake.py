@@ -11,16 +11,20 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.operators import skew_join
 from postlake.operators.clean import CLEANERS
 from postlake.operators.decode import to_records
+from postlake.plans.questions import follower_sketches
 from postlake.session import scratch_path
 from postlake.sinks.files import write_topic
 from postlake.sources.testdata import RAW_BUILDERS, source_rows
+from postlake.streaming.record_log import append_records
 
 TABLES = ("posts", "geo", "users")
 
@@ -62,6 +66,8 @@ class Lake:
         self._source_lock = threading.Lock()
         self._source: DataFrame | None = None
         self._records: dict[str, str] = {}
+        self._summaries: dict[str, tuple[dict, int]] = {}
+        self._sketches: DataFrame | None = None
         self._topics: set[str] = set()
         self._csv: set[str] = set()
 
@@ -77,15 +83,37 @@ class Lake:
         return RAW_BUILDERS[name](self.source())
 
     def records(self, name: str) -> str:
-        """Folder of JSON-record text files for ``name`` (a stream's input),
+        """Record log with the JSON records of ``name`` (a stream's input),
         written once."""
         with self._locks[name]:
             if name not in self._records:
-                path = f"{self.root}/records/{name}"
-                to_records(self.raw(name)).write.mode("overwrite").text(path)
+                path = f"{self.root}/records-{uuid.uuid4().hex[:10]}/{name}"  # a log is only appended to
+                append_records(to_records(self.raw(name)), path)
                 self._records[name] = path
             return self._records[name]
 
+    def key_summary(self, name: str) -> tuple[dict, int]:
+        """The frequent keys of a clean table and its number of rows, from a
+        summary kept beside the table (written once)."""
+        table = self.clean(name)
+        with self._locks[name]:
+            if name not in self._summaries:
+                path = f"{self.root}/{name}-keys"
+                skew_join.key_summary(table, "ind").write.mode("overwrite").parquet(path)
+                self._summaries[name] = skew_join.merge_summaries(self.spark.read.parquet(path))
+            return self._summaries[name]
+
+    def follower_sketches(self) -> DataFrame:
+        """Sketches of the follower counts of users' posts per age group and join
+        year, written once."""
+        users, posts = self.users, self.posts
+        with self._source_lock:
+            if self._sketches is None:
+                path = f"{self.root}/follower-sketches"
+                follower_sketches(users, posts).write.mode("overwrite").parquet(path)
+                self._sketches = self.spark.read.parquet(path)
+            return self._sketches
+
     def topic(self, name: str) -> str:
         """Root of a topic folder with the raw rows of ``name`` as JSON lines,
         written once."""

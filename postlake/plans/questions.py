@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from postlake.functions import age_group
 from postlake.operators.joins import joined_counts
 from postlake.operators.median import weighted_lower_median
+from postlake.operators.quantiles import build_sketches, merged_quantile
+from postlake.operators.skew_join import split_join
 from postlake.operators.topk import top_n_per_group
 
 KEY = "ind"
@@ -62,27 +64,28 @@ def of_years(df: DataFrame, ts: str, lo: int | None, hi: int | None) -> DataFram
 
 # ---------------------------------------------------------------- joins
 
-def join_geo_posts(g: DataFrame, p: DataFrame) -> DataFrame:
+# ``cells`` (see postlake.operators.skew_join.plan_cells) deals the rows of heavy
+# keys over several tasks; without it they are left to Spark's own skew handling.
+
+def join_geo_posts(g: DataFrame, p: DataFrame, cells: dict | None = None) -> DataFrame:
     """Every geo ⋈ posts row: ind, country, timestamp, category, follower_count."""
-    return (g.select(KEY, "country", "timestamp")
-             .join(p.select(KEY, "category", "follower_count"), KEY, "inner"))
+    return split_join([g.select(KEY, "country", "timestamp"), p.select(KEY, "category", "follower_count")],
+                      KEY, cells or {})
 
 
-def join_users_posts(u: DataFrame, p: DataFrame) -> DataFrame:
+def join_users_posts(u: DataFrame, p: DataFrame, cells: dict | None = None) -> DataFrame:
     """Every users ⋈ posts row: ind, user_name, age, date_joined, category, follower_count."""
-    return (u.select(KEY, "user_name", "age", "date_joined")
-             .join(p.select(KEY, "category", "follower_count"), KEY, "inner"))
+    return split_join([u.select(KEY, "user_name", "age", "date_joined"), p.select(KEY, "category", "follower_count")],
+                      KEY, cells or {})
 
 
-def join_three_way(g: DataFrame, p: DataFrame, u: DataFrame) -> DataFrame:
+def join_three_way(g: DataFrame, p: DataFrame, u: DataFrame, cells: dict | None = None) -> DataFrame:
     """Every geo ⋈ posts ⋈ users row: ind, country, user_name, category, follower_count.
-    Both joins use the same key.  A hot key is split in both where
-    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` is on (the session helpers set
-    it), at the price of a shuffle of the middle result in that case."""
-    return (g.select(KEY, "country")
-             .join(p.select(KEY, "category", "follower_count"), KEY, "inner")
-             .join(u.select(KEY, "user_name"), KEY, "inner")
-             .select(KEY, "country", "user_name", "category", "follower_count"))
+    Both joins use the same key (and cell).  Without ``cells`` a hot key is split in
+    both where ``spark.sql.adaptive.forceOptimizeSkewedJoin`` is on (the session
+    helpers set it), at the price of a shuffle of the middle result in that case."""
+    sides = [g.select(KEY, "country"), p.select(KEY, "category", "follower_count"), u.select(KEY, "user_name")]
+    return split_join(sides, KEY, cells or {}).select(KEY, "country", "user_name", "category", "follower_count")
 
 
 # ---------------------------------------------------------------- categories
@@ -218,3 +221,37 @@ def median_followers_by_age_group_year(u: DataFrame, p: DataFrame, lo: int | Non
     years = _join_years(u, lo, hi, age_group("age").alias("age_group"))
     out = _median_followers(years, ["age_group", "year_joined"], p)
     return out.orderBy("age_group", "year_joined")
+
+
+# ---------------------------------------------------------------- stored sketches
+
+def follower_sketches(u: DataFrame, p: DataFrame) -> DataFrame:
+    """Quantile sketches of posts.follower_count over users ⋈ posts rows, per age
+    group and join year: store them, and answer the median questions from them."""
+    return build_sketches(follower_weights(u, p), ["age_group", "year_joined"], "follower_count", "_weight")
+
+
+def follower_weights(u: DataFrame, p: DataFrame) -> DataFrame:
+    """Join rows per (age_group, year_joined, follower_count), as ``_weight``."""
+    years = _join_years(u, None, None, age_group("age").alias("age_group"))
+    return joined_counts([(years, ["age_group", "year_joined"]), (p, ["follower_count"])], KEY, "_weight")
+
+
+def sketched_median_followers(sketches: DataFrame, groups: list[str]) -> DataFrame:
+    """``(group…, n_rows, median_follower_count)`` from stored sketches alone;
+    ``groups`` is any of age_group, year_joined, or both."""
+    return merged_quantile(sketches, groups, "median_follower_count")
+
+
+def median_rank_error(weights: DataFrame, medians: DataFrame, groups: list[str]) -> DataFrame:
+    """``medians`` with ``rank_error``: how far, as a share of the group's rows,
+    the ranks its value takes in ``weights`` are from a half (0 if they include
+    it, NULL without a value)."""
+    w = weights.where("follower_count IS NOT NULL").select(*[F.col(c).alias(f"w_{c}") for c in groups], "follower_count", "_weight")
+    same = [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in groups]
+    below = F.when(F.col("follower_count") < F.col("median_follower_count"), F.col("_weight")).otherwise(0)
+    upto = F.when(F.col("follower_count") <= F.col("median_follower_count"), F.col("_weight")).otherwise(0)
+    ranks = medians.join(w, same, "left").groupBy(*groups, "n_rows", "median_follower_count").agg(
+        F.sum(below).alias("below"), F.sum(upto).alias("upto"))
+    error = F.greatest(F.col("below") / F.col("n_rows") - 0.5, 0.5 - F.col("upto") / F.col("n_rows"), F.lit(0.0))
+    return ranks.select(*groups, "n_rows", "median_follower_count", F.when(F.col("n_rows") > 0, error).alias("rank_error"))

@@ -19,6 +19,7 @@ from postlake.functions.udfs import parse_follower_count_udf
 from postlake.operators.clean import CLEANERS
 from postlake.operators.decode import (decode, to_records, unpack_envelope, wrap_data,
                                        wrap_records)
+from postlake.operators.skew_join import plan_cells
 from postlake.plans import questions as q
 from postlake.plans.lake import lake
 from postlake.plans.sql import SQL_QUESTIONS, run_sql_question
@@ -26,6 +27,8 @@ from postlake.schemas import RAW
 from postlake.session import scratch_path
 from postlake.sinks.files import register_views
 from postlake.sources.files import lookup_value, read_csv, read_topic
+from postlake.streaming import record_log
+from postlake.streaming.fanout import read_fanout, start_fanout
 from postlake.streaming.streams import start_clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,7 +106,7 @@ def _stream(kind) -> Query:
         base = scratch_path(spark, "streams", kind, unique=True)
         table = f"stream_{kind}_{base.rsplit('-', 1)[-1]}"
         query = start_clean_stream(spark, kind, source, table,
-                                   f"{base}/checkpoint", path=f"{base}/table")
+                                   f"{base}/checkpoint", path=f"{base}/table", source_fmt=record_log.FORMAT)
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))
@@ -111,8 +114,50 @@ def _stream(kind) -> Query:
     return run
 
 
+def _stream_fanout(spark, sf_dir):
+    """The three streams as one query; a few columns of each table."""
+    lk = lake(spark, sf_dir)
+    base = scratch_path(spark, "streams", "fanout", unique=True)
+    tables = {kind: f"{base}/{kind}" for kind in RAW}
+    query = start_fanout(spark, {kind: lk.records(kind) for kind in RAW}, tables, f"{base}/checkpoint")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    shown = {"posts": ("category", F.col("follower_count")), "geo": ("country", F.year("timestamp")),
+             "users": ("user_name", F.col("age"))}
+    parts = [read_fanout(spark, tables[kind], f"{base}/checkpoint")
+             .select(F.lit(kind).alias("kind"), "ind", F.col(label).alias("label"), number.cast("int").alias("number"))
+             for kind, (label, number) in shown.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---------------------------------------------------------------- questions
 
+def _split(fn, *kinds) -> Query:
+    """A join question, its heavy keys dealt by the summaries kept with the tables."""
+    def run(spark, sf_dir):
+        lk = lake(spark, sf_dir)
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        cells = plan_cells([lk.key_summary(kind) for kind in kinds], tasks)
+        return fn(*[lk.clean(kind) for kind in kinds], cells=cells)
+    return run
+
+
+def _median_followers_sketch(spark, sf_dir):
+    """The median questions from stored sketches, with the rank of each answer
+    checked against all join rows."""
+    lk = lake(spark, sf_dir)
+    sketches, weights = lk.follower_sketches(), q.follower_weights(lk.users, lk.posts)
+    parts = []
+    for groups in (["age_group"], ["year_joined"], ["age_group", "year_joined"]):
+        checked = q.median_rank_error(weights, q.sketched_median_followers(sketches, groups), groups)
+        parts.append(checked.select(
+            F.lit(",".join(groups)).alias("grouping"),
+            *[(F.col(c) if c in groups else F.lit(None)).cast(t).alias(c) for c, t in (("age_group", "string"), ("year_joined", "int"))],
+            "n_rows", F.coalesce(F.col("rank_error") <= 0.01, F.lit(True)).alias("within_1_percent")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _gp(fn, **kw) -> Query:
     def run(spark, sf_dir):
         g, p, _ = _gpu(spark, sf_dir)
@@ -173,9 +218,9 @@ QUERIES: dict[str, Query] = {
     "json_decode_geo": _json_decode("geo"),
     "json_decode_users": _json_decode("users"),
     # joins (J1, J2, J4)
-    "join_geo_posts": _gp(q.join_geo_posts),
-    "join_three_way": _gpu_q(q.join_three_way),
-    "join_users_posts": _up(q.join_users_posts),
+    "join_geo_posts": _split(q.join_geo_posts, "geo", "posts"),
+    "join_three_way": _split(q.join_three_way, "geo", "posts", "users"),
+    "join_users_posts": _split(q.join_users_posts, "users", "posts"),
     # questions (A1-A7, A5r-A7r, W1-W5)
     "category_counts_by_country": _gp(q.category_counts_by_country),
     "top_category_by_country": _gp(q.top_category_by_country),
@@ -192,10 +237,13 @@ QUERIES: dict[str, Query] = {
     "users_joined_2015_2020": _u(q.users_joined_by_year, lo=2015, hi=2020),
     "median_followers_2015_2020": _up(q.median_followers_by_join_year, lo=2015, hi=2020),
     "median_followers_age_2015_2020": _up(q.median_followers_by_age_group_year, lo=2015, hi=2020),
+    # medians from stored sketches
+    "median_followers_sketch": _median_followers_sketch,
     # the SQL questions as Spark SQL text over the views
     **{f"sql_{name}": _sql(name) for name in SQL_QUESTIONS},
     # streams (T1-T3, S4, K1)
     "stream_posts": _stream("posts"),
     "stream_geo": _stream("geo"),
     "stream_users": _stream("users"),
+    "stream_fanout": _stream_fanout,
 }

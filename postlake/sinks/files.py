@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from postlake.schemas import CLEAN, columns
+
 # Fixed names the SQL questions use for the clean tables.
 VIEW_NAMES = {"posts": "posts", "geo": "countries", "users": "users"}
 
@@ -18,6 +20,7 @@ def write_topic(df: DataFrame, root: str, topic: str, partition: int = 0,
 
 
 def register_views(posts: DataFrame, geo: DataFrame, users: DataFrame) -> None:
-    """Name the clean tables ``posts``, ``countries`` and ``users`` for SQL."""
+    """Name the clean tables ``posts``, ``countries`` and ``users`` for SQL, with
+    their own columns only (the lake's layout adds one to two of them)."""
     for name, df in (("posts", posts), ("geo", geo), ("users", users)):
-        df.createOrReplaceTempView(VIEW_NAMES[name])
+        df.select(*columns(CLEAN[name])).createOrReplaceTempView(VIEW_NAMES[name])

@@ -1,9 +1,10 @@
 """Streams of byte records -> decode -> clean -> append-only table.
 
 Each stream is stateless (a projection per micro-batch), so it scales with
-the source's partitions and keeps no state store.  The file source stands in
-for Kinesis / Kafka here; the format and its options are parameters, and the
-start position and payload column follow the format.  Every stream has its own
+the source's partitions and keeps no state store.  The record log
+(:mod:`postlake.streaming.record_log`) or text files stand in for Kinesis / Kafka
+here; the format and its options are parameters, and the start position and
+payload column follow the format.  Every stream has its own
 checkpoint; its table's name is kept beside it, so reusing one for a second
 table is rejected in any session.
 """
@@ -20,23 +21,27 @@ from pyspark.sql.streaming import StreamingQuery
 from postlake.operators.clean import CLEANERS
 from postlake.operators.decode import decode
 from postlake.schemas import RAW
+from postlake.streaming import record_log
 
 FILE_FORMATS = frozenset(("text", "json", "csv", "parquet", "orc", "binaryFile"))
 # Column that carries a record's bytes, by format; ``value`` for others.
-PAYLOADS = {"kinesis": "data"}
+PAYLOADS = {"kinesis": "data", record_log.FORMAT: "data"}
 
 
 def start_options(fmt: str, start_at: dt.datetime | None) -> dict[str, str]:
     """Reader options that skip records older than ``start_at``.
 
     Kafka takes ``startingTimestamp`` in milliseconds, Kinesis
-    ``initialPosition`` with a time.  File sources take none: their files are
-    filtered by modification time.  Other formats have no start time.
+    ``initialPosition`` with a time, the record log ``startAt``.  File sources
+    take none: their files are filtered by modification time.  Other formats
+    have no start time.
     """
     if start_at is None or fmt in FILE_FORMATS:
         return {}
     if fmt == "kafka":
         return {"startingTimestamp": str(int(start_at.timestamp() * 1000))}
+    if fmt == record_log.FORMAT:
+        return {"startAt": start_at.astimezone(dt.timezone.utc).isoformat()}
     if fmt == "kinesis":
         moment = start_at.astimezone(dt.timezone.utc).strftime("%m/%d/%Y %H:%M:%S UTC")
         return {"initialPosition": json.dumps({"at_timestamp": moment, "format": "MM/dd/yyyy HH:mm:ss ZZZ"})}
@@ -52,6 +57,8 @@ def read_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
     ``PAYLOADS``); ``start_at`` skips records that arrived earlier, see
     :func:`start_options`.
     """
+    if fmt == record_log.FORMAT:
+        record_log.register(spark)
     reader = spark.readStream.format(fmt).options(**start_options(fmt, start_at))
     if options:
         reader = reader.options(**options)
@@ -69,9 +76,10 @@ def _owner_file(spark: SparkSession, checkpoint: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def check_owner(spark: SparkSession, checkpoint: str, table: str) -> None:
+def check_owner(spark: SparkSession, checkpoint: str, table: str, by_path: bool = False) -> None:
     """Refuse a checkpoint that another table has used: its stream would take
-    the other's records as done and leave ``table`` empty."""
+    the other's records as done and leave ``table`` empty.  ``by_path``: the
+    tables are folders, not names in the catalogue."""
     path, fs = _owner_file(spark, checkpoint)
     if fs.exists(path):
         owner = spark.read.text(path.toString()).first()[0]
@@ -79,7 +87,7 @@ def check_owner(spark: SparkSession, checkpoint: str, table: str) -> None:
             raise ValueError(f"checkpoint {checkpoint!r} already belongs to table {owner!r}")
         return
     commits = spark._jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "/commits")
-    if fs.exists(commits) and not spark.catalog.tableExists(table):
+    if fs.exists(commits) and (by_path or not spark.catalog.tableExists(table)):
         raise ValueError(f"checkpoint {checkpoint!r} has been used, and there is no table {table!r} yet")
 
 

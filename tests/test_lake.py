@@ -13,7 +13,7 @@ def test_lake_writes_once_under_the_checkpoint_folder(spark, sf_small):
     assert lk.clean("geo") is lk.clean("geo")
     path = lk.records("users")
     assert lk.records("users") == path
-    assert spark.read.text(path).count() == lk.raw("users").count() == lk.users.count()
+    assert spark.read.format("record_log").load(path).count() == lk.raw("users").count() == lk.users.count()
 
 
 def test_lake_files_are_clustered_by_time(spark, sf_small):
