@@ -52,7 +52,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = [docs[id_col].alias("id"), F.split(F.coalesce(docs[text_col], F.lit("")), "\n").alias("lines"),
             text_key(docs[text_col]).alias("row")]
     if carry:
-        cols.append(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+        cols.append(F.struct("*").alias("doc"))
     base = docs.select(*cols)
     lines = _lines(base, min_chars)
 

@@ -8,7 +8,7 @@ from postlake.llm.queries import ORACLE, QUERIES
 def test_queries_are_registered():
     import __spark_entry__ as E
 
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in E.queries()) == 1
     assert "pipeline" in E.queries() and set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "mixing"]
@@ -53,3 +53,40 @@ def test_stages_on_an_empty_table(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, str(tmp_path)).select("doc_id", "text", "lang", "source", "n_chars")
         assert docs.count() == 0
+
+
+def test_stages_keep_every_input_column(spark, tmp_path):
+    """Columns named like the operators' own, no n_chars, repeated rows, NULL ids, a text of 1 MB."""
+    from pyspark.sql import functions as F
+
+    rnd = __import__("random").Random(7)
+    names = ["score", "lang_pred", "accepted", "items", "n_hit", "n_words", "copy", "Copy_", "__id", "__row", "__own",
+             "document", "own", "id", "row", "size", "doc", "keep", "kept_text", "word.spans"]
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    texts = [prose(40) for _ in range(12)]
+    rows = [(i, t, "en", "s%d" % (i % 2)) for i, t in enumerate(texts)]
+    rows += [(3, texts[3], "en", "s1")] * 2 + [(None, prose(50), "en", None), (None, prose(50), None, "s0"), (50, prose(200_000), "en", "s1"),
+                                               (51, None, None, None), (52, "", "en", "s0"), (53, "12 34", "en", "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for c in names:
+        docs = docs.withColumn(c, F.concat(F.lit(c + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    spark.createDataFrame([(1, texts[0])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, kept, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        got = kept.collect()
+        assert out.columns[:len(docs.columns)] == docs.columns
+        assert all(r[c] == f"{c}:{'none' if r['doc_id'] is None else r['doc_id']}" for r in got for c in names)
+        ids = sorted(str(r["doc_id"]) for r in got)
+        if name in ("language_id", "line_dedup"):
+            assert ids == sorted([str(i) for i in range(12)] + ["3", "3", "50", "None", "None"])
+            assert {r["text"] for r in got} == {t for _, t, _, _ in rows if t and t[0] != "1"}
+        if name == "near_dedup":
+            assert ids == sorted([str(i) for i in range(12)] + ["50", "None", "None"])
+        if name == "decontamination":
+            assert ids == sorted([str(i) for i in range(1, 12)] + ["50", "None", "None"])
+    assert out.columns[len(docs.columns):] == ["copy__"]
