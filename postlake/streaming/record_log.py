@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import posixpath
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as arrow_fs
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader,
@@ -293,8 +294,13 @@ class RecordLog(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to the session; again does no harm."""
-    spark.dataSource.register(RecordLog)
+    """Make the format known to the session; again does no harm.  The classes
+    travel with the query, so its workers need not have this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    try:
+        spark.dataSource.register(RecordLog)
+    finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
 
 
 def append_records(records: DataFrame, path: str, arrived=None, payload: str = "value", shards: int = 4) -> None:
