@@ -224,3 +224,44 @@ ORACLE["records_out_posts"] = _json_record("raw_posts", [
     "is_image_or_video", "image_src", "downloaded", "save_location", "category"])
 ORACLE["records_out_geo"] = _json_record("raw_geo", ["ind", "timestamp", "latitude", "longitude", "country"])
 ORACLE["records_out_users"] = _json_record("raw_users", ["ind", "first_name", "last_name", "age", "date_joined"])
+
+_POST_COLUMNS = ["index", "unique_id", "title", "description", "poster_name", "follower_count", "tag_list",
+                 "is_image_or_video", "image_src", "downloaded", "save_location", "category"]
+
+
+def _record_cte(table: str, cols: list[str]) -> str:
+    fields = ", ".join(f"""CASE WHEN "{c}" IS NOT NULL THEN '"{c}":' || to_json("{c}") END""" for c in cols)
+    return f"rec AS (SELECT *, '{{' || concat_ws(',', {fields}) || '}}' AS value FROM {table})"
+
+
+_DAMAGE = """CASE WHEN "index" % 47 = 0 THEN 'not_json' WHEN "index" % 53 = 0 THEN 'bad_field' WHEN "index" % 59 = 0 THEN 'empty'
+  WHEN "index" % 61 = 0 THEN 'not_object' WHEN "index" % 67 = 0 THEN 'no_key' END"""
+ORACLE["quarantine_good"] = _with(f"SELECT * FROM raw_posts WHERE {_DAMAGE} IS NULL", RAW_CTES)
+ORACLE["quarantine_bad"] = _with(f"""
+SELECT CASE reason WHEN 'not_json' THEN left(value, length(value) - 5)
+    WHEN 'bad_field' THEN regexp_replace(value, '"downloaded":[0-9]+', '"downloaded":"maybe"')
+    WHEN 'empty' THEN '' WHEN 'not_object' THEN '[1,2]' ELSE regexp_replace(value, '"index":[0-9]+,', '') END AS record,
+  reason, CASE WHEN reason = 'bad_field' THEN 'downloaded' END AS bad_fields
+FROM (SELECT *, {_DAMAGE} AS reason FROM rec) WHERE reason IS NOT NULL""",
+                                 RAW_CTES + ",\n" + _record_cte("raw_posts", _POST_COLUMNS))
+ORACLE["stream_quarantine_good"] = ORACLE["quarantine_good"]
+ORACLE["stream_quarantine_bad"] = ORACLE["quarantine_bad"]
+
+
+def _drift(topic: str, table: str, cols: list[str], added: str, field: str, found: str, retyped: str, dropped: str = "") -> str:
+    """Rows of one topic: conditions for its added, retyped and dropped fields."""
+    missing = "\nUNION ALL ".join(
+        f"""SELECT '{topic}', '{c}', 'missing', NULL, count(*) FROM {table} WHERE "{c}" IS NULL{dropped if c == "latitude" else ""}
+HAVING count(*) > 0""" for c in cols)
+    name, kind, test = (added.split(":") if added else ("", "", ""))
+    first = f"SELECT '{topic}' AS topic, '{name}' AS field, 'added' AS status, '{kind}' AS found, count(*) AS n FROM {table} WHERE {test}\nUNION ALL " if added else ""
+    return (f"{first}SELECT '{topic}' AS topic, '{field}' AS field, 'retyped' AS status, '{found}' AS found, count(*) AS n FROM {table} WHERE {retyped}\n"
+            f"UNION ALL {missing}")
+
+
+ORACLE["schema_drift"] = _with("\nUNION ALL ".join([
+    _drift("posts", "raw_posts", _POST_COLUMNS, 'lang:STRING:"index" % 7 = 0', "downloaded", "STRING", '"index" % 9 = 0 AND "index" % 7 <> 0'),
+    _drift("geo", "raw_geo", ["ind", "timestamp", "latitude", "longitude", "country"], "", "longitude", "ARRAY",
+           "ind % 5 = 0 AND ind % 8 <> 0", " OR ind % 8 = 0"),
+    _drift("users", "raw_users", ["ind", "first_name", "last_name", "age", "date_joined"], "tags:OBJECT:ind % 6 = 0", "ind", "DECIMAL",
+           "ind % 11 = 0 AND ind % 6 <> 0")]), RAW_CTES)

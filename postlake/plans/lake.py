@@ -23,7 +23,7 @@ from postlake.operators.decode import to_records
 from postlake.plans.questions import follower_sketches
 from postlake.session import scratch_path
 from postlake.sinks.files import write_topic
-from postlake.sources.testdata import RAW_BUILDERS, source_rows
+from postlake.sources.testdata import RAW_BUILDERS, damaged_posts, source_rows
 from postlake.streaming.record_log import append_records
 
 TABLES = ("posts", "geo", "users")
@@ -92,6 +92,20 @@ class Lake:
                 self._records[name] = path
             return self._records[name]
 
+    def damaged(self) -> str:
+        """Record log of posts, some of which cannot be read, written once."""
+        with self._source_lock:
+            path = self._records.get("damaged")
+        if path is None:
+            posts = self.raw("posts")
+            with self._source_lock:
+                if "damaged" not in self._records:
+                    path = f"{self.root}/records-{uuid.uuid4().hex[:10]}/damaged"
+                    append_records(damaged_posts(posts), path)
+                    self._records["damaged"] = path
+                path = self._records["damaged"]
+        return path
+
     def key_summary(self, name: str) -> tuple[dict, int]:
         """The frequent keys of a clean table and its number of rows, from a
         summary kept beside the table (written once)."""

@@ -19,6 +19,8 @@ from postlake.functions.udfs import parse_follower_count_udf
 from postlake.operators.clean import CLEANERS
 from postlake.operators.decode import (decode, to_records, unpack_envelope, wrap_data,
                                        wrap_records)
+from postlake.operators.drift import schema_drift
+from postlake.operators.quarantine import check_records, read_good, read_quarantine, start_routed, write_routed
 from postlake.operators.skew_join import plan_cells
 from postlake.plans import questions as q
 from postlake.plans.lake import lake
@@ -27,9 +29,10 @@ from postlake.schemas import RAW
 from postlake.session import scratch_path
 from postlake.sinks.files import register_views
 from postlake.sources.files import lookup_value, read_csv, read_topic
+from postlake.sources.testdata import damaged_posts, drifted_records
 from postlake.streaming import record_log
 from postlake.streaming.fanout import read_fanout, start_fanout
-from postlake.streaming.streams import start_clean_stream
+from postlake.streaming.streams import read_stream, start_clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +134,44 @@ def _stream_fanout(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# ---------------------------------------------------------------- quarantine and drift
+
+def _shown_quarantine(bad):
+    return bad.select("record", "reason", F.array_join("bad_fields", ",").alias("bad_fields"))
+
+
+def _quarantine(part) -> Query:
+    """Damaged posts routed in one write; one of the two tables."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "routed", unique=True)
+        records = damaged_posts(_raw(spark, sf_dir, "posts"))
+        write_routed(check_records(records, RAW["posts"], "value", key="index"), path)
+        return (read_good(spark, path, RAW["posts"]) if part == "good"
+                else _shown_quarantine(read_quarantine(spark, path, RAW["posts"])))
+    return run
+
+
+def _stream_quarantine(part) -> Query:
+    """The same from a stream of the damaged posts."""
+    def run(spark, sf_dir):
+        records = read_stream(spark, lake(spark, sf_dir).damaged(), record_log.FORMAT)
+        base = scratch_path(spark, "streams", "routed", unique=True)
+        query = start_routed(check_records(records, RAW["posts"], "data", key="index"), f"{base}/table", f"{base}/checkpoint")
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        return (read_good(spark, f"{base}/table", RAW["posts"]) if part == "good"
+                else _shown_quarantine(read_quarantine(spark, f"{base}/table", RAW["posts"])))
+    return run
+
+
+def _schema_drift(spark, sf_dir):
+    """Added, missing and retyped fields of the three topics."""
+    parts = [schema_drift(drifted_records(kind, _raw(spark, sf_dir, kind)), RAW[kind])
+             .select(F.lit(kind).alias("topic"), "field", "status", "found", "n") for kind in RAW]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---------------------------------------------------------------- questions
 
 def _split(fn, *kinds) -> Query:
@@ -217,6 +258,10 @@ QUERIES: dict[str, Query] = {
     "json_decode_posts": _json_decode("posts"),
     "json_decode_geo": _json_decode("geo"),
     "json_decode_users": _json_decode("users"),
+    # records that cannot be read, and records of another schema
+    "quarantine_good": _quarantine("good"),
+    "quarantine_bad": _quarantine("bad"),
+    "schema_drift": _schema_drift,
     # joins (J1, J2, J4)
     "join_geo_posts": _split(q.join_geo_posts, "geo", "posts"),
     "join_three_way": _split(q.join_three_way, "geo", "posts", "users"),
@@ -246,4 +291,6 @@ QUERIES: dict[str, Query] = {
     "stream_geo": _stream("geo"),
     "stream_users": _stream("users"),
     "stream_fanout": _stream_fanout,
+    "stream_quarantine_good": _stream_quarantine("good"),
+    "stream_quarantine_bad": _stream_quarantine("bad"),
 }

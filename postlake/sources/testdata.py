@@ -115,3 +115,41 @@ def raw_users(src: DataFrame) -> DataFrame:
 
 
 RAW_BUILDERS = {"posts": raw_posts, "geo": raw_geo, "users": raw_users}
+
+
+def _spoilt(value: Column, rules: list[tuple[Column, Column]]) -> Column:
+    """``value`` as the first rule that holds changes it."""
+    out = value
+    for test, changed in reversed(rules):
+        out = F.when(test, changed).otherwise(out)
+    return out
+
+
+def damaged_posts(posts: DataFrame) -> DataFrame:
+    """Raw posts as JSON records in ``value``, some of which cannot be read."""
+    k, value = F.col("index"), F.to_json(F.struct("*"))
+    rows = posts.select("index", value.alias("value"))
+    v = F.col("value")
+    return rows.select(_spoilt(v, [
+        (k % 47 == 0, F.substring(v, F.lit(1), F.length(v) - 5)),
+        (k % 53 == 0, F.regexp_replace(v, '"downloaded":[0-9]+', '"downloaded":"maybe"')),
+        (k % 59 == 0, F.lit("")),
+        (k % 61 == 0, F.lit("[1,2]")),
+        (k % 67 == 0, F.regexp_replace(v, '"index":[0-9]+,', "")),
+    ]).alias("value"))
+
+
+def drifted_records(kind: str, raw: DataFrame) -> DataFrame:
+    """Raw rows of ``kind`` as JSON records in ``value``, some of them written to
+    another schema than the declared one."""
+    key = raw.columns[0]
+    k, v = F.col(key), F.col("value")
+    rules = {
+        "posts": [(k % 7 == 0, F.regexp_replace(v, "^.", '{"lang":"en",')),
+                  (k % 9 == 0, F.regexp_replace(v, '"downloaded":([0-9]+)', '"downloaded":"$1"'))],
+        "geo": [(k % 8 == 0, F.regexp_replace(v, '"latitude":[^,]+,', "")),
+                (k % 5 == 0, F.regexp_replace(v, '"longitude":([^,]+),', '"longitude":[$1],'))],
+        "users": [(k % 6 == 0, F.regexp_replace(v, "^.", '{"tags":{"a":1},')),
+                  (k % 11 == 0, F.regexp_replace(v, '"ind":([0-9]+)', '"ind":$1.5'))],
+    }
+    return raw.select(key, F.to_json(F.struct("*")).alias("value")).select(_spoilt(v, rules[kind]).alias("value"))
