@@ -165,6 +165,7 @@ ORACLE: dict[str, str] = {
     "scan_json_users": _raw_cols("raw_users"),
     "envelope_records": _raw_cols("raw_posts"),
     "envelope_data": _raw_cols("raw_geo"),
+    "envelope_packed": _raw_cols("raw_users"),
     "json_decode_posts": _raw_cols("raw_posts"),
     "json_decode_geo": _raw_cols("raw_geo"),
     "json_decode_users": _raw_cols("raw_users"),

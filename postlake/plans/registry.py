@@ -20,6 +20,7 @@ from postlake.operators.clean import CLEANERS
 from postlake.operators.decode import (decode, to_records, unpack_envelope, wrap_data,
                                        wrap_records)
 from postlake.operators.drift import schema_drift
+from postlake.operators.packing import pack_envelopes
 from postlake.operators.quarantine import check_records, read_good, read_quarantine, start_routed, write_routed
 from postlake.operators.skew_join import plan_cells
 from postlake.plans import questions as q
@@ -99,6 +100,12 @@ def _envelope_records(spark, sf_dir):
     return unpack_envelope(wrap_records(_raw(spark, sf_dir, "posts")), RAW["posts"], "records")
 
 
+def _envelope_packed(spark, sf_dir):
+    """Users in envelopes of up to 500 records and 64 kB, unpacked again."""
+    packed = pack_envelopes(_raw(spark, sf_dir, "users"), 500, 64 << 10)
+    return unpack_envelope(packed, RAW["users"], "records")
+
+
 def _envelope_data(spark, sf_dir):
     return unpack_envelope(wrap_data(_raw(spark, sf_dir, "geo")), RAW["geo"], "data")
 
@@ -255,6 +262,7 @@ QUERIES: dict[str, Query] = {
     "records_out_users": _records_out("users"),
     "envelope_records": _envelope_records,
     "envelope_data": _envelope_data,
+    "envelope_packed": _envelope_packed,
     "json_decode_posts": _json_decode("posts"),
     "json_decode_geo": _json_decode("geo"),
     "json_decode_users": _json_decode("users"),

@@ -5,6 +5,11 @@ Written as CTEs to the plans of :mod:`postlake.plans.questions` (a test counts
 their exchanges and joins): every side but posts is summarised per ``ind``
 before the join, so a hot key costs its post rows times its few distinct
 values, and every ``row_number`` has tie-breakers.
+
+Values are bound as named parameters, never formatted into the text, and the
+library's rules are SQL functions of the session's catalogue
+(:func:`register_functions`), which the optimiser inlines: plans and pushed-down
+filters are those of the expressions themselves.
 """
 
 from __future__ import annotations
@@ -23,9 +28,19 @@ def _per_key(table: str, expr: str, name: str, where: str = "") -> str:
 _POSTS = "SELECT ind, category FROM posts WHERE ind IS NOT NULL"
 
 
-def _year_range(column: str, lo: int, hi: int) -> str:
-    return (f"{column} >= TIMESTAMP_NTZ '{lo:04d}-01-01 00:00:00' "
-            f"AND {column} < TIMESTAMP_NTZ '{hi + 1:04d}-01-01 00:00:00'")
+def _year_range(column: str) -> str:
+    return (f"{column} >= make_timestamp_ntz(:lo, 1, 1, 0, 0, 0) "
+            f"AND {column} < make_timestamp_ntz(:hi + 1, 1, 1, 0, 0, 0)")
+
+
+#: SQL functions by name: parameters, result and body.
+FUNCTIONS = {"age_group": ("age INT", "STRING", age_group_sql("age"))}
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Put the library's rules into the session's catalogue as SQL functions."""
+    for name, (parameters, result, body) in FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
 
 
 def category_counts_by_country() -> str:
@@ -46,8 +61,8 @@ SELECT country, category, n FROM (
 WHERE rn = 1"""
 
 
-def posts_per_category_year(lo: int = 2018, hi: int = 2022) -> str:
-    years = _per_key("countries", "year(timestamp)", "post_year", _year_range("timestamp", lo, hi))
+def posts_per_category_year() -> str:
+    years = _per_key("countries", "year(timestamp)", "post_year", _year_range("timestamp"))
     return f"""
 WITH g AS ({years}),
      p AS ({_POSTS})
@@ -56,9 +71,9 @@ FROM g JOIN p ON g.ind = p.ind
 GROUP BY g.post_year, p.category"""
 
 
-def top_category_by_year(lo: int = 2018, hi: int = 2022) -> str:
+def top_category_by_year() -> str:
     return f"""
-WITH counts AS ({posts_per_category_year(lo, hi)})
+WITH counts AS ({posts_per_category_year()})
 SELECT post_year, category, n FROM (
   SELECT *, row_number() OVER (PARTITION BY post_year ORDER BY n DESC, category) AS rn FROM counts) ranked
 WHERE rn = 1"""
@@ -97,7 +112,7 @@ LIMIT 1"""
 
 def top_category_by_age_group() -> str:
     return f"""
-WITH bands AS ({_per_key('users', age_group_sql('age'), 'age_group')}),
+WITH bands AS ({_per_key('users', 'age_group(age)', 'age_group')}),
      p AS ({_POSTS}),
      category_count AS (
        SELECT b.age_group, p.category, sum(b.w) AS category_count
@@ -120,6 +135,14 @@ SQL_QUESTIONS = {
 }
 
 
+#: Named parameters of a question and their defaults.
+PARAMETERS = {name: {"lo": 2018, "hi": 2022} for name in ("posts_per_category_year", "top_category_by_year")}
+
+
 def run_sql_question(spark: SparkSession, name: str, **params) -> DataFrame:
-    """Run one question over the registered views."""
-    return spark.sql(SQL_QUESTIONS[name](**params))
+    """Run one question over the registered views, ``params`` bound by name."""
+    known = PARAMETERS.get(name, {})
+    if unknown := set(params) - set(known):
+        raise TypeError(f"{name} has no parameter {sorted(unknown)}")
+    register_functions(spark)
+    return spark.sql(SQL_QUESTIONS[name](), args={**known, **params})

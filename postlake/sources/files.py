@@ -41,6 +41,23 @@ def read_topic(spark: SparkSession, root: str, topic: str, schema: StructType |
     return reader.load(topic_path(root, topic, partition))
 
 
+def write_lookup(df: DataFrame, path: str, key_col: str, row_group_bytes: int = 8 << 20,
+                 distinct_keys: int | None = None) -> None:
+    """Write a table that is looked up by ``key_col``.
+
+    Rows are range-sorted by the key, so a key's rows lie in one or two files and
+    the statistics of a row group cover a short range; each row group has a
+    Parquet Bloom filter on the key, which rules out most that the range does
+    not (``distinct_keys`` sizes it, if known).  :func:`lookup_value` on the
+    table then reads the row groups that may hold the key.
+    """
+    writer = df.repartitionByRange(key_col).sortWithinPartitions(key_col).write.mode("overwrite") \
+        .option("parquet.block.size", str(row_group_bytes)).option(f"parquet.bloom.filter.enabled#{key_col}", "true")
+    if distinct_keys is not None:
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key_col}", str(distinct_keys))
+    writer.parquet(path)
+
+
 def lookup_value(df: DataFrame, key_col: str, key, value_col: str) -> DataFrame:
     """The ``value_col`` of the first row whose ``key_col`` equals ``key``
     (zero or one row).  The filter reaches the scan."""

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from postlake.functions import age_group_sql
+from postlake.functions import age_group, age_group_sql
 from postlake.plans import questions as q
 from postlake.schemas import CLEAN_GEO, CLEAN_POSTS, CLEAN_USERS
 from postlake.sinks.files import register_views
@@ -130,3 +130,24 @@ def test_sql_forms_agree_with_dataframe_forms(tables, spark):
         a = sorted((tuple(r) for r in df.collect()), key=repr)
         b = sorted((tuple(r) for r in run_sql_question(spark, name).select(*df.columns).collect()), key=repr)
         assert a == b, name
+
+
+def test_sql_parameters_are_bound(tables, spark, sf_small):
+    from postlake.plans.lake import lake
+    from postlake.plans.sql import SQL_QUESTIONS, register_functions, run_sql_question
+    g, p, _ = tables
+    for lo, hi in ((2018, 2022), (2019, 2019), (2030, 2031)):
+        got = run_sql_question(spark, "posts_per_category_year", lo=lo, hi=hi)
+        assert sorted(map(tuple, got.collect())) == sorted(
+            map(tuple, q.posts_per_category_year(g, p, lo, hi).select(*got.columns).collect()))
+    lk = lake(spark, sf_small)
+    register_views(lk.posts, lk.geo, lk.users)
+    plan = run_sql_question(spark, "posts_per_category_year", lo=2019, hi=2019)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp,2019-01-01T00:00)" in plan.replace("\n", "")  # folded and pushed down
+    with pytest.raises(TypeError):
+        run_sql_question(spark, "posts_per_category_year", year=1)
+    assert ":lo" in SQL_QUESTIONS["top_category_by_year"]()
+    register_functions(spark)
+    ages = spark.sql("SELECT id AS age, age_group(CAST(id AS INT)) AS s FROM range(-5, 130)").select("s", age_group("age").alias("d"))
+    assert ages.where("s <> d").count() == 0
+    assert spark.sql("SELECT age_group(NULL) AS s").first().s == "50+"
