@@ -266,3 +266,9 @@ ORACLE["schema_drift"] = _with("\nUNION ALL ".join([
            "ind % 5 = 0 AND ind % 8 <> 0", " OR ind % 8 = 0"),
     _drift("users", "raw_users", ["ind", "first_name", "last_name", "age", "date_joined"], "tags:OBJECT:ind % 6 = 0", "ind", "DECIMAL",
            "ind % 11 = 0 AND ind % 6 <> 0")]), RAW_CTES)
+
+ORACLE["incremental_counts"] = _with(f"""
+SELECT 'country' AS question, country AS label, category, n FROM ({_A1}) a
+UNION ALL SELECT 'year', CAST(post_year AS VARCHAR), category, n FROM ({_A2}) b
+UNION ALL SELECT 'age', age_group, category, category_count FROM ({_A3}) c
+UNION ALL SELECT 'joined', CAST({_YEAR_JOINED} AS VARCHAR), NULL, count(*) FROM clean_users u GROUP BY 2""")

@@ -53,3 +53,12 @@ def joined_counts(sides: list[tuple[DataFrame, list[str]]], key: str, out: str =
     names = [c for _, cols in sides for c in cols]
     return joined.groupBy(*names).agg(F.sum(product).alias(out))
 
+
+def joined_weights(sides: list[tuple[DataFrame, list[str], str]], key: str, out: str = "n") -> DataFrame:
+    """:func:`joined_counts` of sides that are partial counts already: ``(frame,
+    column names, weight)``, where several rows of one ``(key, columns…)`` add up."""
+    sums = [df.where(F.col(key).isNotNull()).groupBy(key, *cols).agg(F.sum(w).alias(f"_w{i}"))
+            for i, (df, cols, w) in enumerate(sides)]
+    joined = reduce(lambda left, right: left.join(right, key, "inner"), sums)
+    product: Column = reduce(lambda a, b: a * b, [F.col(f"_w{i}") for i in range(len(sides))])
+    return joined.groupBy(*[c for _, cols, _ in sides for c in cols]).agg(F.sum(product).alias(out))
