@@ -1,18 +1,17 @@
 """SimHash near-dedup by a segment-popcount embedding.
 
 Fingerprints are mapped to the bit counts of their segments, a vector whose
-Manhattan distance never exceeds the Hamming distance.  Two fingerprints within
-``max_bits`` bits have vectors within that Manhattan distance, so they meet in
-a common grid cell when each visits the cells within half of it; a cell is
-the vector itself, packed into 64 bits.  Fingerprints alone in all their cells
-are done.  The others are verified exactly inside their cells: a visit is
-refined to the very 64-bit value (the fingerprint with up to half of
-``max_bits`` bits flipped), and fingerprints that visit the same value differ
-in at most ``max_bits`` bits.
-
-Nothing here is quadratic.  Copies collapse to one row per fingerprint first;
-a fingerprint visits 1 + 64 values for two bits, whatever its neighbours; a
-cell, however full, is only tested for a second member; a refined value has
+Manhattan distance never exceeds the Hamming distance, packed into 64 bits.  The
+vectors are range-joined on a grid: each visits the cells within half of
+``max_bits``, and two vectors within ``max_bits`` meet in a cell between them.
+Vectors that meet no other, and stand for one fingerprint, are done.  Only the
+fingerprints of the others are verified exactly: each visits the very 64-bit
+values within half of ``max_bits`` flipped bits, and fingerprints that visit the
+same value differ in at most ``max_bits`` bits.
+
+Nothing here is quadratic.  Copies collapse to one row per fingerprint first, and
+fingerprints to one row per vector; a vector visits about 50 cells for two bits
+and 32 segments, and at most 65 distinct vectors can visit a cell.  A value has
 at most 65 distinct visitors, which are linked to one of them, not pairwise.
 """
 
@@ -22,7 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from postlake.llm.common import materialised, text_key, with_python_columns
@@ -86,6 +85,38 @@ def cell(value: Column, segments: int) -> Column:
     return c
 
 
+def _one_step(vector: Column, segments: int) -> Column:
+    """The vector and those at Manhattan distance 1: one segment's count one up
+    or one down, where that is still a count."""
+    width = most = 64 // segments
+    mask = (1 << width) - 1 if width < 64 else -1
+    out = [vector]
+    for k in range(segments):
+        count = F.shiftrightunsigned(vector, width * k).bitwiseAND(F.lit(mask))
+        for step, possible in ((1, count < most), (-1, count > 0)):
+            # the field is changed by its differing bits: a sum could run into the sign
+            changed = F.shiftleft(count.bitwiseXOR(count + step), width * k)
+            out.append(F.when(possible, vector.bitwiseXOR(changed)))
+    return F.array_compact(F.array(*out))
+
+
+def in_company(fps: DataFrame, max_bits: int = 2, segments: int = 32) -> DataFrame:
+    """The fingerprints (distinct, column fp) that have another one whose vector
+    is within Manhattan distance ``max_bits``, or a little more for odd values:
+    a superset of those with another one within ``max_bits`` bits."""
+    placed = fps.select("fp", cell(F.col("fp"), segments).alias("vector"))
+    vectors = placed.groupBy("vector").agg(F.count(F.lit(1)).alias("n"))
+    visits = vectors.withColumn("at", F.col("vector"))
+    for _ in range((max_bits + 1) // 2):
+        visits = visits.select("vector", "n", F.explode(_one_step(F.col("at"), segments)).alias("at"))
+    if max_bits > 2:
+        visits = visits.distinct()  # several ways lead to one cell
+    # distinct vectors near one cell are few, so no window is large
+    here = Window.partitionBy("at")
+    met = visits.withColumn("visitors", F.count(F.lit(1)).over(here)).where("visitors > 1 or n > 1").select("vector").distinct()
+    return placed.join(met, "vector", "left_semi").select("fp")
+
+
 def links(fps: DataFrame, max_bits: int = 2, segments: int = 32) -> DataFrame:
     """Links (u, v) between distinct fingerprints (column fp) that connect all
     those within ``max_bits`` bits: each link is between two such, and any two
@@ -96,14 +127,10 @@ def links(fps: DataFrame, max_bits: int = 2, segments: int = 32) -> DataFrame:
         raise ValueError("max_bits must be 0 to 4: the visits per fingerprint grow as 64 to the power of half of it")
     near, far = max_bits // 2, (max_bits + 1) // 2
     masks = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(r <= near).alias("near")) for m, r in _masks(far)])
-    visit = fps.select("fp", F.explode(masks).alias("m")) \
+    # exact check of those that the range join has left: visitors of one value are at most far + near bits apart
+    visit = in_company(fps, max_bits, segments).select("fp", F.explode(masks).alias("m")) \
         .select("fp", F.col("m.near").alias("near"), F.col("fp").bitwiseXOR(F.col("m.mask")).alias("value"))
-    visit = visit.select("fp", "near", "value", cell(F.col("value"), segments).alias("cell"))
-    shared = visit.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")) \
-        .where("lo != hi").select("cell")
-    # exact check inside the cells: visitors of one value are at most far + near bits apart
-    groups = visit.join(shared, "cell", "left_semi") \
-        .groupBy("value").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.collect_set("fp").alias("all")) \
+    groups = visit.groupBy("value").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.collect_set("fp").alias("all")) \
         .where("hub is not null and size(all) > 1")
     pairs = groups.select(F.col("hub").alias("u"), F.explode("all").alias("v")).where("u != v").distinct()
     return pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits)

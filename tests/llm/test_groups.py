@@ -424,3 +424,28 @@ def test_index_classes_guarantee_recall():
             assert width >= math.ceil(n / 0.8) + stride - 1
             least = 0.8 * n / (width + 0.2 * n)
             assert 1 - (1 - least ** licenses.ROWS) ** bands >= 0.999
+
+
+@pytest.mark.parametrize("max_bits, segments", [(0, 32), (1, 16), (2, 32), (2, 8), (3, 16), (4, 32)])
+def test_range_join_loses_no_neighbour(spark, max_bits, segments):
+    """All fingerprints with another one within max_bits pass; most others do not."""
+    rnd = random.Random(max_bits * 100 + segments)
+    fps = [rnd.getrandbits(64) for _ in range(300)]
+    for v in fps[:60]:
+        for bits in range(1, 6):
+            fps.append(v ^ sum(1 << b for b in rnd.sample(range(64), bits)))
+    fps += [0, (1 << 64) - 1, 1, 1 << 63, (1 << 63) | 1]
+    fps = sorted({v - (1 << 64) if v >> 63 else v for v in fps})
+    got = {r["fp"] for r in simhash.in_company(spark.createDataFrame([(v,) for v in fps], "fp long"), max_bits, segments).collect()}
+    mask = (1 << 64) - 1
+
+    def vector(v):
+        w = 64 // segments
+        return [((v & mask) >> (w * k) & ((1 << w) - 1)).bit_count() for k in range(segments)]
+    vectors = {v: vector(v) for v in fps}
+    reach = max_bits + max_bits % 2
+    want = {v for v in fps if any(u != v and sum(abs(a - b) for a, b in zip(vectors[u], vectors[v])) <= reach for u in fps)}
+    assert got == want
+    assert {v for v in fps if any(u != v and ((u ^ v) & mask).bit_count() <= max_bits for u in fps)} <= got
+    if segments == 32 and max_bits <= 2:
+        assert len(got) < len(fps)
