@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from postlake.llm.common import materialised, with_python_columns
+from postlake.llm.common import materialised, text_key, with_python_columns
 
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper_words")
@@ -79,30 +79,39 @@ def base_failed() -> Column:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X ~ Binomial(n, p), exactly summed from the largest term down."""
+    """P(X <= k) for X ~ Binomial(n, p): the smaller of the two tails summed from
+    its largest term on, until the terms no longer count."""
     if k >= n:
         return 1.0
-    log_p, log_q = math.log(p), math.log1p(-p)
-    total, top = 0.0, math.lgamma(n + 1)
-    for i in range(k, -1, -1):
-        term = math.exp(top - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * log_p + (n - i) * log_q)
-        total += term
-        if i < n * p and term < total * 1e-17:
-            break
-    return min(1.0, total)
+    log_p, log_q, top = math.log(p), math.log1p(-p), math.lgamma(n + 1)
+
+    def tail(i: int, step: int) -> float:
+        total = 0.0
+        while 0 <= i <= n:
+            term = math.exp(top - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * log_p + (n - i) * log_q)
+            total += term
+            if term <= total * 1e-17:  # they only fall from here on
+                break
+            i += step
+        return total
+    return min(1.0, tail(k, -1)) if k <= n * p else max(0.0, 1.0 - tail(k + 1, 1))
 
 
 def learn_cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratum_col: str = "lang",
-                  good_col: str = "quality", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+                  good_col: str = "quality", risk: float = 0.02, delta: float = 0.05,
+                  row_col: str | None = None) -> DataFrame:
     """Certified cutoffs: (stratum, rule, cutoff, n_good, false_rejections).
 
     ``labels`` (id, good 0/1): rows with a NULL are left out; an id labelled
     both ways counts as bad; repeated labels count once.  Documents that fail
-    the base rules take no part, as they are never judged.
+    the base rules take no part, as they are never judged.  ``row_col`` is a key
+    of the text: a labelled document whose row is repeated counts once.
     """
     lab = labels.select(labels[id_col].alias("l_id"), labels[good_col].alias("good")) \
         .where("l_id is not null and good is not null").groupBy("l_id").agg(F.min("good").alias("good"))
     rows = stats.where(~base_failed()).join(lab, stats[id_col] == F.col("l_id"))
+    if row_col is not None:
+        rows = rows.dropDuplicates([id_col, row_col, stratum_col])
     # counts per stratum and label first: the grid is laid over sums, not over rows
     sums = [F.sum((F.expr(e) > c).cast("long")).alias(f"x{r}_{i}") for r, (_, e, grid) in enumerate(RULES) for i, c in enumerate(grid)]
     totals = rows.groupBy(F.col(stratum_col).alias("stratum"), (F.col("good") > 0).alias("good")) \
@@ -142,10 +151,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     is a stratum of its own; without labels no rule is on and only the base
     rules decide.
     """
-    src = docs.select(docs[id_col].alias("id"), docs[stratum_col].alias("stratum"), docs[text_col].alias("text"))
-    stats = materialised(statistics(src, keep=["id", "stratum"]))
+    src = docs.select(docs[id_col].alias("id"), text_key(docs[text_col]).alias("row"), docs[stratum_col].alias("stratum"),
+                      docs[text_col].alias("text"))
+    stats = materialised(statistics(src, keep=["id", "row", "stratum"]))
     cut = learn_cutoffs(stats, labels.select(labels[id_col].alias("id"), labels[good_col].alias("good")), "id", "stratum",
-                        "good", risk, delta)
+                        "good", risk, delta, row_col="row")
     by_stratum = cut.groupBy(F.col("stratum").alias("s")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut"))
     j = stats.join(by_stratum, F.col("stratum").eqNullSafe(F.col("s")), "left")
     fails = F.array_compact(F.array(*[
