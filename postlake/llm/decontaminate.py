@@ -133,12 +133,14 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     has no windows; the windows of an item whose id is NULL mark words but
     the item is not listed; repeated items count once; with an empty
     benchmark nothing is hit.  ``block_bytes`` bounds what is sent to the
-    tasks at once, in bytes of benchmark text (one item may exceed it alone).
+    tasks at once, in bytes of distinct items, text and id (one item may exceed
+    it alone); a text that many ids share is dealt over the blocks with them.
     """
     spark = docs.sparkSession
     items = benchmark.select(benchmark[item_col].cast("string").alias("item"),
-                             benchmark[item_text_col].alias("text")).where("text is not null")
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+                             benchmark[item_text_col].alias("text")).where("text is not null").distinct()
+    size = F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0))
+    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     span = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
     schema = StructType([StructField("n_words", LongType()), StructField("n_hit", LongType()),
@@ -147,7 +149,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     keep = list(docs.columns if keep is None else keep)
     df = docs
     for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b) if blocks > 1 else items
+        part = items.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b) if blocks > 1 else items
         sent = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
         last = b == blocks - 1
         cols = keep if last else list(dict.fromkeys([*keep, text_col]))

@@ -4,6 +4,7 @@ against brute force, planted cases and awkward rows."""
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,8 +106,44 @@ def test_gram_counts_do_not_depend_on_chunks(monkeypatch):
     whole = langid.gram_counts(text, 12)
     monkeypatch.setattr(langid, "CHUNK", 97)
     parts = langid.gram_counts(text, 12)
-    # one- and two-letter grams of the two overlapping code points are counted again at a chunk's start
-    assert set(whole[0]) == set(parts[0])
+    assert whole[0].tolist() == parts[0].tolist() and whole[1].tolist() == parts[1].tolist()
+    monkeypatch.setattr(langid, "CHUNK", 1)
+    assert whole[1].tolist() == langid.gram_counts(text, 12)[1].tolist()
+
+
+def test_temperature_minimises_the_cross_entropy():
+    rng = np.random.default_rng(1)
+    z, labels = rng.normal(size=(200, 4)) * 6, rng.integers(0, 4, 200)
+    z[np.arange(200), labels] += 3
+    sums = sum(langid._calibration_sums(row, k) for row, k in zip(z, labels))
+    want = np.full((200, 4), 1 / 204)
+    want[np.arange(200), labels] += 200 / 204
+
+    def loss(t):
+        s = z / t
+        return float((np.log(np.exp(s - s.max(1, keepdims=True)).sum(1)) + s.max(1) - (want * s).sum(1)).sum())
+    best = langid._temperature(sums, 4)
+    assert loss(best) <= min(map(loss, np.geomspace(0.05, 20, 3000))) + 1e-3
+    assert langid._temperature(sums * 0, 4) == 1.0
+
+
+def test_repeated_rows_do_not_certify(spark):
+    """40 labelled documents repeated 60 times are 40 documents."""
+    rows = []
+    for i in range(80):
+        words = " ".join(f"w{i}x{j}" + ("#*" if i % 2 else "") for j in range(60))
+        rows += [(i, words, "en")] * 60
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, quality int")
+    assert quality.judge(df, labels, risk=0.02).where("not kept").count() == 0
+
+
+def test_a_benchmark_text_with_many_ids_is_dealt_over_the_blocks(spark):
+    text = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([(i, text) for i in range(300)] * 2, "item_id long, text string")
+    df = frame(spark, [text, "else " + text + " where", "nothing"])
+    one, many = (decontaminate.mark_contaminated(df, bench, block_bytes=b).orderBy("doc_id").collect() for b in (1 << 20, 2000))
+    assert one == many and len(one[0]["items"]) == 300 and one[2]["n_hit"] == 0
 
 
 def test_quality_statistics_equal_brute_force(spark):
@@ -132,6 +169,13 @@ def test_binomial_tail_is_exact():
     for n, k, p in ((10, 3, 0.2), (200, 0, 0.01), (60, 59, 0.5), (500, 12, 0.02)):
         want = sum(comb(n, i) * p**i * (1 - p)**(n - i) for i in range(k + 1))
         assert quality.binomial_tail(k, n, p) == pytest.approx(want, rel=1e-9)
+    for n, p in ((50, 0.3), (40, 0.9)):
+        for k in range(n + 1):
+            want = sum(comb(n, i) * p**i * (1 - p)**(n - i) for i in range(k + 1))
+            assert quality.binomial_tail(k, n, p) == pytest.approx(want, rel=1e-9, abs=1e-12)
+    # far above and at the mean of a large sample it stops early
+    assert quality.binomial_tail(5 * 10**8, 10**9, 0.02) == 1.0
+    assert quality.binomial_tail(2 * 10**5, 10**7, 0.02) == pytest.approx(0.5, abs=0.01)
 
 
 def test_quality_rules_control_false_rejection(spark):
