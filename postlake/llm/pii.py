@@ -24,6 +24,8 @@ import math
 import random
 import re
 import zlib
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -117,57 +119,57 @@ def _feature(name: str) -> int:
 
 
 FEATURES = 1 << 12
-_KNOWN: dict[str, int] = {}
-
-
-def _ids(names: list[str]) -> list[int]:
-    out = []
-    for n in names:
-        k = _KNOWN.get(n)
-        if k is None:
-            k = _feature(n)
-            if len(_KNOWN) < 100_000:
-                _KNOWN[n] = k
-        out.append(k)
-    return out
+MOST_DIGITS = 19  # no kind has more
+_KNOWN: dict[tuple, tuple[int, ...]] = {}
+
+
+def _char(c: str) -> str:
+    return "d" if c.isdigit() else "a" if c.isalpha() else "_" if c.isspace() else c
 
 
-def _span_features(text: str, tok: list, i: int, j: int, digits: str, groups: list[int], signs: str) -> list[int]:
+def _shape(text: str, tok: list, i: int, j: int, digits: str, groups: list[int], signs: str) -> tuple:
+    """All that a segment's features depend on."""
     a, b = tok[i][0], tok[j - 1][1]
     s, n = text[a:b], len(digits)
-    f = ["bias", f"nd{min(n, 20)}", f"ng{min(len(groups), 7)}", "g" + "-".join(str(min(g, 7)) for g in groups[:7])]
-    f += ["s" + c for c in sorted(set(signs))]
     if "@" in s:
         local, _, domain = s.partition("@")
-        f += [f"dots{min(domain.count('.'), 3)}", f"at{s.count('@')}",
-              "tld" if domain.rpartition(".")[2].isalpha() and "." in domain else "notld", "local" if local else "nolocal"]
+        form = ("@", min(domain.count("."), 3), s.count("@"), "." in domain and domain.rpartition(".")[2].isalpha(), bool(local))
     else:
-        if 13 <= n <= 19 and luhn(digits):
-            f.append("luhn")
-        if len(groups) == 4 and signs == "...":
-            f.append("ipok" if _small_parts(s) else "ipbad")
-        if s.startswith("+"):
-            f.append("plus")
-        f.append("paired" if s.count("(") == s.count(")") else "unpaired")
-        if 10 <= n <= 15:
-            f.append("phonelength")
-        if "\x20" in s:
-            f.append("space")
-    left, right = text[a - 1] if a else " ", text[b] if b < len(text) else " "
-    f.append("l:" + ("d" if left.isdigit() else "a" if left.isalpha() else "_" if left.isspace() else left))
-    f.append("r:" + ("d" if right.isdigit() else "a" if right.isalpha() else "_" if right.isspace() else right))
+        form = ("#", 13 <= n <= MOST_DIGITS and luhn(digits), len(groups) == 4 and signs == "..." and (1 + _small_parts(s)),
+                s[0] == "+", s.count("(") == s.count(")"), 10 <= n <= 15, "\x20" in s)
     k = i - 1
     while k >= 0 and tok[k][2] not in ("a", "d") and i - k < 4:
         k -= 1
-    if k >= 0 and tok[k][2] == "a" and text[tok[k][0]:tok[k][1]].lower() in CUES:
-        f.append("cue:" + text[tok[k][0]:tok[k][1]].lower())
-    return _ids(f)
+    cue = text[tok[k][0]:tok[k][1]].lower() if k >= 0 and tok[k][2] == "a" and tok[k][1] - tok[k][0] <= 8 else ""
+    return (min(n, 20), tuple(min(g, 7) for g in groups[:7]), min(len(groups), 7), "".join(sorted(set(signs))), form,
+            _char(text[a - 1]) if a else "_", _char(text[b]) if b < len(text) else "_", cue if cue in CUES else "")
+
+
+def _features(shape: tuple) -> tuple[int, ...]:
+    """Feature numbers of a shape; shapes recur, so they are kept."""
+    out = _KNOWN.get(shape)
+    if out is None:
+        n, groups, n_groups, signs, form, left, right, cue = shape
+        f = ["bias", f"nd{n}", f"ng{n_groups}", "g" + "-".join(map(str, groups)), *("s" + c for c in signs)]
+        if form[0] == "@":
+            _, dots, ats, tld, local = form
+            f += [f"dots{dots}", f"at{ats}", "tld" if tld else "notld", "local" if local else "nolocal"]
+        else:
+            _, passes, ip, plus, paired, phone, space = form
+            f += [name for name, holds in (("luhn", passes), ("ipok", ip == 2), ("ipbad", ip == 1), ("plus", plus), ("paired", paired),
+                                           ("unpaired", not paired), ("phonelength", phone), ("space", space)) if holds]
+        f += ["l:" + left, "r:" + right] + (["cue:" + cue] if cue else [])
+        out = tuple(_feature(x) for x in f)
+        if len(_KNOWN) < 100_000:
+            _KNOWN[shape] = out
+    return out
 
 
-def segments(text: str, tok: list) -> list[tuple[int, int, list[int]]]:
-    """Candidate entities: up to ``MAX_TOKENS`` tokens, at most one blank and no
-    line end between two; either without letters, or with one @ and no blank."""
-    out, n = [], len(tok)
+def segments(text: str, tok: list) -> Iterator[tuple[int, int, tuple[int, ...]]]:
+    """Candidate entities by first token: up to ``MAX_TOKENS`` tokens, at most one
+    blank and no line end between two; either without letters and with 4 to
+    ``MOST_DIGITS`` digits, or with one @ and no blank."""
+    n = len(tok)
     for i in range(n):
         if tok[i][2] not in ("a", "d", "+", "("):
             continue
@@ -186,11 +188,10 @@ def segments(text: str, tok: list) -> list[tuple[int, int, list[int]]]:
             else:
                 at += c == "@"
                 signs += c
-            if blank and (letters or at) or at > 1:
+            if blank and (letters or at) or at > 1 or blank and len(digits) > MOST_DIGITS:
                 break
-            if c in ("a", "d") and (at == 1 if letters or at else len(digits) >= 4):
-                out.append((i, j, _span_features(text, tok, i, j, digits, groups, signs)))
-    return out
+            if c in ("a", "d") and (at == 1 if letters or at else 4 <= len(digits) <= MOST_DIGITS):
+                yield i, j, _features(_shape(text, tok, i, j, digits, groups, signs))
 
 
 # ---------------------------------------------------------------- the field
@@ -198,94 +199,167 @@ def segments(text: str, tok: list) -> list[tuple[int, int, list[int]]]:
 LABELS = 1 + len(KINDS)  # 0: outside, one token each
 
 
-def _logsum(x: np.ndarray) -> float:
-    m = x.max()
-    return float(m + math.log(np.exp(x - m).sum()))
+_NONE = -math.inf
+
+
+def _logsum(xs: list[float]) -> float:
+    m = max(xs)
+    return m if m == _NONE else m + math.log(sum([math.exp(x - m) for x in xs]))
+
+
+class Lattice:
+    """The segments of one text, by first token, and their scores by kind: flat
+    arrays, some 50 bytes a segment.  ``first[i]`` to ``first[i + 1]`` are the
+    segments that begin at token i."""
+
+    def __init__(self, n: int, segs: Iterable[tuple[int, int, tuple[int, ...]]], w: np.ndarray, keep: bool = False):
+        self.n, self.first, self.begin, self.end, self.score = n, array("q", [0]), array("q"), array("q"), array("d")
+        self.features: list[tuple[int, ...]] = []
+        known: dict[tuple[int, ...], list[float]] = {}
+        for i, j, f in segs:
+            while len(self.first) <= i:
+                self.first.append(len(self.end))
+            s = known.get(f)
+            if s is None:
+                s = w[list(f)].sum(axis=0).tolist()
+                if len(known) < 100_000:
+                    known[f] = s
+            self.begin.append(i)
+            self.end.append(j)
+            self.score.extend(s)
+            if keep:
+                self.features.append(f)
+        while len(self.first) <= n:
+            self.first.append(len(self.end))
+
+    def __len__(self) -> int:
+        return len(self.end)
 
 
 class Field:
-    """Weights of segment features by kind, and of label transitions."""
+    """Weights of segment features by kind, and of label transitions (from the
+    row's label to the column's)."""
 
     def __init__(self, w: np.ndarray | None = None, trans: np.ndarray | None = None):
         self.w = np.zeros((FEATURES, len(KINDS))) if w is None else w
         self.trans = np.zeros((LABELS, LABELS)) if trans is None else trans
 
-    def scores(self, segs: list) -> list[np.ndarray]:
-        return [self.w[f].sum(axis=0) for _, _, f in segs]
-
-    def forward(self, n: int, segs: list, score: list[np.ndarray]) -> tuple[np.ndarray, list[list[int]]]:
-        """Log-sums of all labellings of each prefix, by last label."""
-        ends: list[list[int]] = [[] for _ in range(n + 1)]
-        for k, (_, j, _) in enumerate(segs):
-            ends[j].append(k)
-        alpha = np.full((n + 1, LABELS), -np.inf)
-        alpha[0, 0] = 0.0
-        for j in range(1, n + 1):
-            alpha[j, 0] = _logsum(alpha[j - 1] + self.trans[:, 0])
-            for k in ends[j]:
-                i = segs[k][0]
-                for y in range(1, LABELS):
-                    v = _logsum(alpha[i] + self.trans[:, y]) + score[k][y - 1]
-                    alpha[j, y] = np.logaddexp(alpha[j, y], v)
-        return alpha, ends
-
-    def backward(self, n: int, segs: list, score: list[np.ndarray]) -> np.ndarray:
-        starts: list[list[int]] = [[] for _ in range(n + 1)]
-        for k, (i, _, _) in enumerate(segs):
-            starts[i].append(k)
-        beta = np.full((n + 1, LABELS), -np.inf)
-        beta[n] = 0.0
-        for i in range(n - 1, -1, -1):
-            beta[i] = self.trans[:, 0] + beta[i + 1, 0]
-            for k in starts[i]:
-                j = segs[k][1]
-                for y in range(1, LABELS):
-                    beta[i] = np.logaddexp(beta[i], self.trans[:, y] + score[k][y - 1] + beta[j, y])
-        return beta
-
-    def posteriors(self, n: int, segs: list) -> np.ndarray:
-        """Probability of each candidate segment, by kind."""
-        score = self.scores(segs)
-        alpha, _ = self.forward(n, segs, score)
-        beta = self.backward(n, segs, score)
-        z = _logsum(alpha[n])
-        out = np.zeros((len(segs), len(KINDS)))
-        for k, (i, j, _) in enumerate(segs):
-            for y in range(1, LABELS):
-                out[k, y - 1] = math.exp(min(0.0, _logsum(alpha[i] + self.trans[:, y]) + score[k][y - 1] + beta[j, y] - z))
-        return out
-
-    def best(self, n: int, segs: list) -> list[tuple[int, int]]:
+    def forward(self, lat: Lattice) -> array:
+        """Log-sums of all labellings of each prefix, by last label: LABELS
+        numbers a position, the next positions' sums added to from each one."""
+        L, into_of = LABELS, self.trans.T.tolist()
+        alpha = array("d", [_NONE]) * ((lat.n + 1) * L)
+        alpha[0] = 0.0
+        first, end, score = lat.first, lat.end, lat.score
+        for i in range(lat.n):
+            here = alpha[i * L:i * L + L].tolist()
+            to = (i + 1) * L
+            alpha[to] = _logadd(alpha[to], _logsum([x + t for x, t in zip(here, into_of[0])]))
+            if first[i] < first[i + 1]:
+                into = [_logsum([x + t for x, t in zip(here, row)]) for row in into_of[1:]]
+                for k in range(first[i], first[i + 1]):
+                    to, at = end[k] * L + 1, k * (L - 1)
+                    for y in range(L - 1):
+                        alpha[to + y] = _logadd(alpha[to + y], into[y] + score[at + y])
+        return alpha
+
+    def backward(self, lat: Lattice) -> tuple[array, array]:
+        """Per position the log-sums of all labellings of the rest, by the label
+        before it, and by the label that follows."""
+        L, trans = LABELS, self.trans.tolist()
+        beta, follow = array("d", [0.0]) * ((lat.n + 1) * L), array("d", [_NONE]) * (lat.n * L)
+        first, end, score = lat.first, lat.end, lat.score
+        for i in range(lat.n - 1, -1, -1):
+            nxt = [beta[(i + 1) * L]] + [_NONE] * (L - 1)
+            for k in range(first[i], first[i + 1]):
+                to, at = end[k] * L + 1, k * (L - 1)
+                for y in range(L - 1):
+                    nxt[y + 1] = _logadd(nxt[y + 1], score[at + y] + beta[to + y])
+            for x in range(L):
+                beta[i * L + x] = _logsum([t + v for t, v in zip(trans[x], nxt)])
+                follow[i * L + x] = nxt[x]
+        return beta, follow
+
+    def posteriors(self, lat: Lattice, only: Iterable[int] | None = None) -> tuple[dict[int, list[float]], np.ndarray, float]:
+        """Of the segments in ``only`` (default: all) the probability of each
+        kind; the expected number of each transition; and the log of the sum of
+        all labellings."""
+        L = LABELS
+        alpha, (beta, follow) = self.forward(lat), self.backward(lat)
+        z = _logsum(alpha[lat.n * L:].tolist())
+        out, into_of = {}, self.trans.T.tolist()
+        for k in range(len(lat)) if only is None else only:
+            i, to, at = lat.begin[k] * L, lat.end[k] * L + 1, k * (L - 1)
+            out[k] = [math.exp(min(0.0, _logsum([x + t for x, t in zip(alpha[i:i + L], into_of[y + 1])]) + lat.score[at + y] + beta[to + y] - z))
+                      for y in range(L - 1)]
+        pair = np.zeros((L, L))
+        if only is None:
+            a, f = np.array(alpha[:lat.n * L]).reshape(-1, L), np.array(follow).reshape(-1, L)
+            pair = np.exp(np.minimum(0.0, a[:, :, None] + self.trans[None] + f[:, None, :] - z)).sum(axis=0)
+        return out, pair, z
+
+    def best(self, lat: Lattice) -> list[tuple[int, int]]:
         """Viterbi: (segment, kind) of the entities of the best labelling."""
-        score = self.scores(segs)
-        ends: list[list[int]] = [[] for _ in range(n + 1)]
-        for k, (_, j, _) in enumerate(segs):
-            ends[j].append(k)
-        v = np.full((n + 1, LABELS), -np.inf)
-        v[0, 0] = 0.0
-        back: dict[tuple[int, int], tuple] = {}
-        for j in range(1, n + 1):
-            x = v[j - 1] + self.trans[:, 0]
-            v[j, 0], back[j, 0] = x.max(), (j - 1, int(x.argmax()), -1)
-            for k in ends[j]:
-                i = segs[k][0]
-                for y in range(1, LABELS):
-                    x = v[i] + self.trans[:, y]
-                    s = x.max() + score[k][y - 1]
-                    if s > v[j, y]:
-                        v[j, y], back[j, y] = s, (i, int(x.argmax()), k)
-        out, at = [], (n, int(v[n].argmax()))
-        while at[0] > 0:
-            i, y, k = back[at]
-            if k >= 0:
-                out.append((k, at[1] - 1))
-            at = (i, y)
+        L, into_of = LABELS, self.trans.T.tolist()
+        v = array("d", [_NONE]) * ((lat.n + 1) * L)
+        v[0] = 0.0
+        came = array("q", [-1]) * ((lat.n + 1) * L)  # the segment, -1 outside
+        prev = array("b", [0]) * ((lat.n + 1) * L)  # the label before
+        for i in range(lat.n):
+            here = v[i * L:i * L + L].tolist()
+            into = []
+            for y in range(L if lat.first[i] < lat.first[i + 1] else 1):
+                xs = [x + t for x, t in zip(here, into_of[y])]
+                top = max(xs)
+                into.append((top, xs.index(top)))
+            to = (i + 1) * L
+            if into[0][0] > v[to]:
+                v[to], came[to], prev[to] = into[0][0], -1, into[0][1]
+            for k in range(lat.first[i], lat.first[i + 1]):
+                to, at = lat.end[k] * L, k * (L - 1)
+                for y in range(1, L):
+                    s = into[y][0] + lat.score[at + y - 1]
+                    if s > v[to + y]:
+                        v[to + y], came[to + y], prev[to + y] = s, k, into[y][1]
+        out, i = [], lat.n
+        y = int(np.argmax(v[i * L:]))
+        while i > 0:
+            k, x = came[i * L + y], prev[i * L + y]
+            if y:
+                out.append((k, y - 1))
+            i, y = lat.begin[k] if y else i - 1, x
         return out[::-1]
 
+    def log_likelihood(self, lat: Lattice, gold: list[tuple[int, int]]) -> float:
+        """Of the labelling with the entities ``gold`` (segment, kind)."""
+        _, _, z = self.posteriors(lat, only=())
+        return sum(lat.score[k * (LABELS - 1) + kind] for k, kind in gold) + float((self.trans * gold_pairs(lat, gold)).sum()) - z
+
+
+def _logadd(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == _NONE else a + math.log1p(math.exp(b - a))
+
+
+def gold_pairs(lat: Lattice, gold: list[tuple[int, int]]) -> np.ndarray:
+    """How often each transition occurs in the labelling with those entities."""
+    out, at, label = np.zeros((LABELS, LABELS)), 0, 0
+    for k, kind in [*gold, (None, None)]:
+        begin = lat.n if k is None else lat.begin[k]
+        if begin > at:  # outside tokens, one transition each
+            out[label, 0] += 1
+            out[0, 0] += begin - at - 1
+            label = 0
+        if k is not None:
+            out[label, kind + 1] += 1
+            at, label = lat.end[k], kind + 1
+    return out
+
 
-def _gold(text: str, tok: list, segs: list, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]] | None:
+def _gold(tok: list, lat: Lattice, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]] | None:
     """(segment, kind) of the spans, or None if one is no candidate."""
-    place = {(tok[i][0], tok[j - 1][1]): k for k, (i, j, _) in enumerate(segs)}
+    place = {(tok[i][0], tok[j - 1][1]): k for k, (i, j) in enumerate(zip(lat.begin, lat.end))}
     out, done = [], 0
     for a, kind, b in sorted(spans, key=lambda s: (s[0], -s[2])):
         if a < done:
@@ -337,6 +411,10 @@ def _plain_number(rnd: random.Random) -> str:
                        f"{rnd.random() * 1000:.5f}"))
 
 
+#: Training reads this many tokens of a region; decoding reads all.
+TRAIN_TOKENS = 200
+
+
 def train(sample: list[tuple[str, list[tuple[int, int, int]]]], epochs: int = 4, rate: float = 0.3,
           l2: float = 1e-4, seed: int = 7) -> Field:
     """``sample``: region texts with their base spans.  Dates, times, versions
@@ -345,47 +423,62 @@ def train(sample: list[tuple[str, list[tuple[int, int, int]]]], epochs: int = 4,
     plain = [(f"on {_plain_number(rnd)} it", []) for _ in range(max(50, len(sample) // 4))]
     for text, spans in [*sample, *plain]:
         for t, s in ((text, spans), *((_altered(text, spans, rnd) for _ in range(2)) if spans else ())):
-            tok = tokens(t)[:200]
-            segs = segments(t, tok)
-            gold = _gold(t, tok, segs, s)
+            tok = tokens(t)[:TRAIN_TOKENS]
+            segs = list(segments(t, tok))
+            gold = _gold(tok, Lattice(len(tok), segs, field.w), s)
             if segs and gold is not None:
                 cases.append((len(tok), segs, gold))
     g_w, g_t = np.full_like(field.w, 1e-8), np.full_like(field.trans, 1e-8)
     for _ in range(epochs):
         rnd.shuffle(cases)
         for n, segs, gold in cases:
-            post = field.posteriors(n, segs)
-            want = np.zeros_like(post)
-            for k, kind in gold:
-                want[k, kind] = 1.0
-            delta = want - post
-            for k in np.flatnonzero(np.abs(delta).max(axis=1) > 1e-4):
-                f = segs[k][2]
-                g = delta[k][None, :] - l2 * field.w[f]
+            lat = Lattice(n, segs, field.w, keep=True)
+            rows, pairs = gradient(field, lat, gold)
+            for f, g in rows:
+                g = g[None, :] - l2 * field.w[f]
                 g_w[f] += g * g
                 field.w[f] += rate * g / np.sqrt(g_w[f])
-            # transitions into an entity, from outside: the same gradient summed by kind
-            g = delta.sum(axis=0) - l2 * field.trans[0, 1:]
-            g_t[0, 1:] += g * g
-            field.trans[0, 1:] += rate * g / np.sqrt(g_t[0, 1:])
+            g = pairs - l2 * field.trans
+            g_t += g * g
+            field.trans += rate * g / np.sqrt(g_t)
     return field
 
 
+def gradient(field: Field, lat: Lattice, gold: list[tuple[int, int]]) -> tuple[list[tuple[list[int], np.ndarray]], np.ndarray]:
+    """Of the log-likelihood: per segment that matters its features and what is
+    added to their weights by kind, and that of the transitions.  Observed less
+    expected counts, the expected ones from the forward and backward sums."""
+    post, expected, _ = field.posteriors(lat)
+    want = dict(gold)
+    rows = []
+    for k, p in post.items():
+        g = -np.array(p)
+        if k in want:
+            g[want[k]] += 1.0
+        if np.abs(g).max() > 1e-4:
+            rows.append((list(lat.features[k]), g))
+    return rows, gold_pairs(lat, gold) - expected
+
+
 def decode(field: Field, text: str, taken: list[tuple[int, int, int]], min_posterior: float) -> list[tuple[int, int, int, float]]:
-    """Spans (start, kind, end, posterior) of a region that overlap no taken one."""
+    """Spans (start, kind, end, posterior) of a region that overlap no taken one
+    (sorted by start).  Time and memory grow as the region's tokens."""
     tok = tokens(text)
-    segs = segments(text, tok)
-    if not segs:
+    lat = Lattice(len(tok), segments(text, tok), field.w)
+    if not len(lat):
         return []
-    out, post = [], None
-    for k, kind in field.best(len(tok), segs):
-        a, b = tok[segs[k][0]][0], tok[segs[k][1] - 1][1]
-        if any(a < e and s < b for s, _, e in taken):
-            continue
-        post = field.posteriors(len(tok), segs) if post is None else post
-        if post[k, kind] >= min_posterior:
-            out.append((a, kind, b, float(post[k, kind])))
-    return out
+    free, t, reach = [], 0, 0
+    for k, kind in field.best(lat):
+        a, b = tok[lat.begin[k]][0], tok[lat.end[k] - 1][1]
+        while t < len(taken) and taken[t][0] < b:
+            reach = max(reach, taken[t][2])
+            t += 1
+        if a >= reach:
+            free.append((k, kind, a, b))
+    if not free:
+        return []
+    post, _, _ = field.posteriors(lat, only=[k for k, *_ in free])
+    return [(a, kind, b, post[k][kind]) for k, kind, a, b in free if post[k][kind] >= min_posterior]
 
 
 _SPAN = ArrayType(StructType([StructField("start", IntegerType()), StructField("kind", IntegerType()),
