@@ -233,6 +233,63 @@ def test_license_containment_is_exact(spark):
     assert licenses.find_licenses(frame(spark, ["a b c d e f"]), templates=[]).first()["matches"] == []
 
 
+def _contained(text, templates, containment, max_gap):
+    """Names of templates that some stretch of the text contains, tried for every stretch of words."""
+    words, out = licenses.normal_words(text), set()
+    every = {s for _, t in templates for s in licenses.shingles(licenses.normal_words(t))}
+    places = [i for i, s in enumerate(licenses.shingles(words)) if s in every]
+    breaks = [0] + [k + 1 for k, (a, b) in enumerate(zip(places, places[1:])) if b - a - licenses.SHINGLE > max_gap] + [len(places)]
+    all_shingles = licenses.shingles(words)
+    for lo, hi in zip(breaks, breaks[1:]):
+        have = {all_shingles[p] for p in places[lo:hi]}
+        for name, t in templates:
+            own = set(licenses.shingles(licenses.normal_words(t)))
+            if len(own & have) >= containment * len(own):
+                out.add(name)
+    return out
+
+
+def test_changed_notices_against_brute_force():
+    """Words deleted, replaced and put in (also many in one place): all with 0.8 of a template's shingles are
+    found, and the most specific notice is named."""
+    rnd = random.Random(31)
+    index = licenses.Index(list(licenses.TEMPLATES), 0.8, 0.999)
+    full = [(n, t) for n, t in licenses.TEMPLATES if len(t.split()) > 25]
+    found = wanted = named = 0
+    for _ in range(400):
+        name, text = rnd.choice(full)
+        words = text.split()
+        for _ in range(rnd.randint(0, 2)):
+            k = rnd.randrange(len(words))
+            words[k:k + rnd.randint(0, 1)] = [f"foreign{rnd.randint(0, 99)}"] * rnd.choice((0, 1, 3, 60, 150))
+        t = " ".join([f"x{rnd.randint(0, 99)}" for _ in range(30)] + words + [f"y{rnd.randint(0, 99)}" for _ in range(30)])
+        have = _contained(t, licenses.TEMPLATES, 0.8, 200)
+        got = licenses.scan(t, index, 0.8)
+        assert {g[0] for g in got} <= have
+        if name in have:
+            wanted += 1
+            found += bool(got)
+            named += any(g[0] == name for g in got)
+    print(f"{wanted} notices with 0.8 of their shingles, {found} found, {named} by their own name")
+    assert wanted > 200 and found >= 0.99 * wanted and named >= 0.95 * wanted
+
+
+@pytest.mark.parametrize("name", sorted({n for n, _ in licenses.TEMPLATES}))
+def test_whole_notices_have_their_own_name(name):
+    index = licenses.Index(list(licenses.TEMPLATES), 0.8, 0.999)
+    for n, text in licenses.TEMPLATES:
+        if n == name:
+            assert [g[0] for g in licenses.scan("before it " + text.lower() + " after it", index, 0.8)] == [name]
+
+
+def test_long_insertions_and_distant_halves():
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 100).split()
+    index = licenses.Index(list(licenses.TEMPLATES), 0.8, 0.999)
+    for gap, n in ((45, 1), (60, 1), (190, 1), (400, 0)):
+        t = " ".join(mit[:30] + ["other"] * gap + mit[30:])
+        assert len(licenses.scan(t, index, 0.8)) == n, gap
+
+
 def test_licenses_awkward_rows(spark):
     df = awkward(spark)
     out = licenses.find_licenses(df)
