@@ -30,8 +30,10 @@ TABLES = ("posts", "geo", "users")
 
 # The column the year filters use.  The table is partitioned by its year (column
 # ``<name>_year``), so a year filter opens only those folders, and rows are
-# sorted by it inside each file, so the pushed-down ranges skip row groups.  A
-# write task makes one file a year at most, and no shuffle.
+# sorted by it inside each file, so the pushed-down ranges skip row groups.  Rows
+# are first rebalanced on the year: AQE puts small years together and splits
+# large ones at the advisory size, so a year has files of about that size,
+# however many tasks the input has (tasks times years small files otherwise).
 CLUSTER_BY = {"geo": "timestamp", "users": "date_joined"}
 
 
@@ -42,7 +44,7 @@ def write_clean(clean: DataFrame, name: str, path: str) -> DataFrame:
         clean.write.mode("overwrite").parquet(path)
     else:
         year = f"{column}_year"
-        (clean.withColumn(year, F.year(column)).sortWithinPartitions(year, column)
+        (clean.withColumn(year, F.year(column)).hint("rebalance", year).sortWithinPartitions(year, column)
               .write.mode("overwrite").partitionBy(year).parquet(path))
     schema = clean.schema if column is None else clean.withColumn(f"{column}_year", F.year(column)).schema
     return clean.sparkSession.read.schema(schema).parquet(path)

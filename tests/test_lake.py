@@ -39,3 +39,15 @@ def test_csv_and_topics_are_written_once(spark, sf_small):
     files = sorted(spark.read.text(lk.csv("customer")).inputFiles())
     assert lk.topic("geo") == lk.topic("geo")
     assert sorted(spark.read.text(lk.csv("customer")).inputFiles()) == files
+
+
+def test_many_tasks_do_not_make_many_files(spark, sf_small, tmp_path):
+    import os
+
+    from postlake.plans.lake import write_clean
+    geo = lake(spark, sf_small).geo.drop("timestamp_year")
+    out = write_clean(geo.repartition(12), "geo", str(tmp_path / "geo"))
+    years = [d for d in os.listdir(tmp_path / "geo") if d.startswith("timestamp_year=")]
+    files = [f for d in years for f in os.listdir(tmp_path / "geo" / d) if f.endswith(".parquet")]
+    assert len(files) <= len(years) + 2 < 12 * len(years)
+    assert out.drop("timestamp_year").exceptAll(geo).count() == 0 and out.count() == geo.count()
