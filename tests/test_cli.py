@@ -1,7 +1,9 @@
 """The command line's batch and stream modes on topic files derived from the
 test data."""
 
-from postlake.cli import QUESTIONS, answer, clean_topics, run_batch, run_streams
+from pyspark.sql import functions as F
+
+from postlake.cli import QUESTIONS, answer, clean_topics, run_batch, run_streams, run_update
 from postlake.operators.decode import to_records
 from postlake.plans import questions as q
 from postlake.plans.lake import lake
@@ -31,3 +33,31 @@ def test_stream_mode(spark, sf_small, tmp_path):
         query.awaitTermination()
     for kind, clean in (("posts", lk.posts), ("geo", lk.geo), ("users", lk.users)):
         assert spark.read.parquet(f"{tables}/{kind}").count() == clean.count()
+
+
+def test_fan_out_mode_on_a_record_log(spark, sf_small, tmp_path):
+    import datetime as dt
+
+    from postlake.streaming.fanout import read_fanout
+    from postlake.streaming.record_log import append_records
+    lk = lake(spark, sf_small)
+    sources, tables, ckpts = (str(tmp_path / n) for n in ("src", "tables", "ckpt"))
+    old = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+    for kind in ("posts", "geo", "users"):
+        append_records(to_records(lk.raw(kind).limit(10)), f"{sources}/{kind}", F.lit(old))
+        append_records(to_records(lk.raw(kind)), f"{sources}/{kind}")
+    for query in run_streams(spark, sources, tables, ckpts, source_fmt="record_log", fan_out=True,
+                             start_at=old + dt.timedelta(days=1)):
+        query.awaitTermination()
+        assert query.exception() is None
+    for kind, clean in (("posts", lk.posts), ("geo", lk.geo), ("users", lk.users)):
+        assert read_fanout(spark, f"{tables}/{kind}", f"{ckpts}/fanout").count() == clean.count()
+
+
+def test_update_mode(spark, sf_small, tmp_path, capsys):
+    root, state = lake(spark, sf_small).topic("posts"), str(tmp_path / "state")
+    for kind in ("geo", "users"):
+        lake(spark, sf_small).topic(kind)
+    assert run_update(spark, root, state)["posts"] > 0
+    assert run_update(spark, root, state, merge=True) == {"posts": 0, "geo": 0, "users": 0}
+    assert "category_counts_by_country" in capsys.readouterr().out
