@@ -111,7 +111,7 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     runs = docs.select("doc_id", F.explode(spelling.letter_runs(F.col("text"), 7)).alias("run")) \
         .select("doc_id", ascii_lower(F.col("run")).alias("run"))
-    h = F.crc32(F.concat_ws(":", F.col("doc_id").cast("string"), "run").cast("binary"))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run").cast("binary"))  # NULL for a NULL id: nothing is cut
     cut = (h % F.length("run")).cast("int")
     word = F.when(h % 31 == 0, F.concat(F.substring("run", F.lit(1), cut), F.substring("run", cut + 2, F.length("run")))) \
         .otherwise(F.col("run"))

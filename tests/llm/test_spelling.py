@@ -100,6 +100,7 @@ def test_query_equals_brute_force(spark, tmp_path):
     vocabulary = ["".join(rng.choice("abcdeÀé÷") for _ in range(rng.randint(6, 9))) for _ in range(12)]
     texts = [" ".join(rng.choice(vocabulary).title() for _ in range(60)) + ".x1y\n" for _ in range(60)]
     rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(999, None, None, None, None), (1000, "", "en", "s", 0)]
+    rows += [(None, " ".join(vocabulary), "en", "s", 9)] * 40
     spark.createDataFrame(rows, SCHEMA).unionByName(awkward(spark).select(SCHEMA.replace(" long", "").replace(" string", "").split(", "))) \
         .write.parquet(str(tmp_path / "documents.parquet"))
     counts = Counter()
