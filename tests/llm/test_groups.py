@@ -293,6 +293,76 @@ def test_changed_passage_across_blocks_of_a_long_text(spark):
     assert [len(r["spans"]) for r in out] == [4, 1, 1, 1, 1]
 
 
+def test_rows_of_pairs_are_compared_as_single_pairs():
+    rng = np.random.default_rng(27)
+    a, at, b, bt = [], [], [], []
+    for k in range(400):
+        high = (2, 6, 40, 1 << 60)[k % 4]
+        n, m = rng.integers(46, 92, 2)
+        one, two = rng.integers(0, high, n, dtype=np.uint64), rng.integers(0, high, m, dtype=np.uint64)
+        i, j = int(rng.integers(max(0, n - 46), min(n, 46))), int(rng.integers(max(0, m - 46), min(m, 46)))
+        before, after = min(i, j), min(n - i, m - j)
+        two[j - before:j + after] = one[i - before:i + after]
+        x = int(rng.integers(0, m))
+        two[x:x + int(rng.integers(0, 7))] = rng.integers(0, high)
+        two[j] = one[i]
+        for rows, row in ((a, one), (at, i), (b, two), (bt, j)):
+            rows.append(row)
+    got = substring_dedup.similar_rows(a, np.array(at), b, np.array(bt))
+    want = [substring_dedup.similar(*pair) or (-1, -1) for pair in zip(a, at, b, bt)]
+    assert [tuple(r) for r in got.tolist()] == want
+    assert 40 < sum(w[0] >= 0 for w in want) < 400
+
+
+def test_sub_keys_of_repeated_words_lose_no_similar_pair():
+    """Near-duplicates that agree on a minimum that is one of the key's
+    shingles again agree on what stands in its place."""
+    rng = np.random.default_rng(28)
+    side, lost, met, apart = substring_dedup.SIDE, 0, 0, 0
+    for k in range(1500):
+        period = rng.integers(0, 1 << 60, int(rng.integers(1, 4)), dtype=np.uint64)
+        a = np.tile(period, 91)[:91]
+        for _ in range(int(rng.integers(0, 4))):
+            x = int(rng.integers(0, 91))
+            a[x:x + int(rng.integers(1, 12))] = rng.integers(0, 1 << 60, dtype=np.uint64)
+        b, x = a.copy(), int(rng.integers(0, 91))
+        b[x:] = np.roll(b[x:], int(rng.integers(0, 3)))
+        b[int(rng.integers(0, 91)):][:1 + k % 40] = rng.integers(0, 1 << 60, dtype=np.uint64)
+        back = k % 2
+        own = slice(45 - side * back, 45 - side * back + side + 1)
+        a[own] = b[own] = np.tile(period, 9)[:side + 1]
+        old, new = [], []
+        for s in (a, b):
+            args = s, np.array([45]), np.array([0]), np.array([11])
+            old.append(set(substring_dedup._sub_keys(*args)[0].tolist()))
+            subs, sizes = substring_dedup._sub_keys(*args, np.array([back]))
+            assert sizes.tolist() == [len(subs)] == [len(set(subs.tolist()))]
+            new.append(set(subs.tolist()))
+        if old[0] & old[1]:
+            if substring_dedup.similar(a, 45, b, 45):
+                met, lost = met + 1, lost + (not new[0] & new[1])
+            else:
+                apart += not new[0] & new[1]
+    assert not lost and met > 300 and apart > 50, (lost, met, apart)
+
+
+def test_a_word_repeated_in_unlike_texts_brings_no_pairs(spark, monkeypatch):
+    """All share the run of one word, no two a passage; nothing is compared."""
+    rnd = random.Random(29)
+    word = min(_passage(rnd, 3000), key=lambda w: substring_dedup._mix(
+        substring_dedup.shingle_hashes([w.encode()] * 5) + substring_dedup._seed(1))[0])
+    texts = [" ".join(_passage(rnd, 60) + [word] * 30 + _passage(rnd, 60)) for _ in range(8)]
+    pairs, near = [], substring_dedup._near
+
+    def counted(p, *rest):
+        pairs.append(p.count())
+        return near(p, *rest)
+    monkeypatch.setattr(substring_dedup, "_near", counted)
+    out = substring_dedup.repeated_passages(frame(spark, texts)).collect()
+    assert all(r["component_id"] == r["doc_id"] and not r["spans"] for r in out)
+    assert sum(pairs) == 0
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
