@@ -207,6 +207,29 @@ def test_all_pairs_of_a_group_are_linked_whatever_the_hubs(spark):
     assert got == {(2 * i, 2 * i + 1) for i in range(12)}
 
 
+def test_many_pairs_are_compared_in_parts(spark, monkeypatch):
+    """All pairs of one group, more at a time than surroundings: all are found,
+    and no part writes its shuffle files beside those of another."""
+    rnd = random.Random(30)
+    rows = []
+    for n, words in enumerate(w for pair in _around_a_phrase(rnd, 6) for w in pair):
+        s = substring_dedup.shingle_hashes([w.encode() for w in words])
+        rows.append((n, n, n, n, 20, s.view(np.int64).tolist(), [7]))
+    around = spark.createDataFrame(rows, "w long, th long, own long, comp long, at int, s array<long>, subs array<long>")
+    pairs = around.select("w").crossJoin(around.select(F.col("w").alias("v"))).where("w < v") \
+        .withColumn("c_w", F.col("w")).withColumn("c_v", F.col("v"))
+    folders, write = [], substring_dedup.scratch_path
+
+    def path(*parts, **kw):
+        folders.append(parts[2])
+        return write(*parts, **kw)
+    monkeypatch.setattr(substring_dedup, "scratch_path", path)
+    monkeypatch.setattr(substring_dedup, "_PAIRS", 30, raising=False)
+    got = sorted((r["w"], r["v"]) for r in substring_dedup._near(pairs, around, None).collect())
+    assert got == [(2 * i, 2 * i + 1) for i in range(6)]
+    assert folders.count("changed") == 3  # 66 pairs, 30 at a time
+
+
 def test_changed_passages_inside_a_component_have_spans(spark):
     rnd = random.Random(22)
     footer = _passage(rnd, 60)
