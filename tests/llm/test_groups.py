@@ -8,12 +8,13 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from helpers import awkward, components as brute_components, frame
-from postlake.llm import licenses, mixing, pii, secret_scan, simhash, substring_dedup
+from postlake.llm import licenses, mixing, pii, secret_scan, shingles, simhash, substring_dedup
 from postlake.llm.components import components
 
 
@@ -386,6 +387,88 @@ def test_a_word_repeated_in_unlike_texts_brings_no_pairs(spark, monkeypatch):
     assert sum(pairs) == 0
 
 
+def test_words_shingles_and_windows_by_arrays_are_those_of_single_texts():
+    rnd = random.Random(31)
+    marks = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
+    texts = [None, "", " \t\n ", "--- a,b, ...c... 'Hello' \u00e9\u00c9!", "-" * 100 + " x" + "!" * 50 + " " + "!" * 50 + "y", "The " * 300 + "end",
+             *(" ".join("".join(rnd.choice("aB\u00e9" + marks) for _ in range(rnd.randint(1, 40))) for _ in range(n)) for n in range(0, 200, 7))]
+    batch = pa.record_batch([pa.array(texts), pa.array(range(len(texts)))], ["text", "n"])
+    seen = 0
+    for rows, x in shingles.parts(iter([batch, batch.slice(3, 5)])):
+        points = x.code_points()
+        for k, n in enumerate(rows.column(1).to_pylist()):
+            words = substring_dedup.plain_words(texts[n])
+            s = substring_dedup.shingle_hashes(words)
+            assert x.n_words[k] == len(words) and x.s[x.lo[k]:x.hi[k]].tolist() == s.tolist()
+            at = slice(x.word[k], x.word[k + 1])
+            bounds = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", texts[n] or "")]
+            assert list(zip((points[x.first[at]] - points[x.off[k]]).tolist(), (points[x.last[at]] - points[x.off[k]]).tolist())) == bounds
+            seen += 1
+    assert seen == len(texts) + 5
+
+
+def _near_counted(s, groups, own, comp):
+    """Links and number of comparisons of surroundings in groups of all."""
+    n = len(s)
+    rows, compared = substring_dedup._Rows(s, np.zeros(n, np.int64), np.full(n, 91)), []
+    alike = rows.alike
+
+    def counted(a, b):
+        compared.extend(zip(a.tolist(), b.tolist()))
+        return alike(a, b)
+    rows.alike = counted
+    found = [(a, b) for u, v, _, _ in substring_dedup._near_rows(
+        rows, np.repeat(np.arange(groups), n), np.tile(np.arange(n), groups), own, np.ones(n, bool), comp) for a, b in zip(u, v)]
+    assert len(compared) == len(set(compared))
+    return found, len(compared)
+
+
+def test_comparisons_of_a_large_group_do_not_grow_with_its_square():
+    """600 surroundings of 20 unlike kinds, those of a kind alike, their texts
+    linked: each is compared until it has a match."""
+    rng = np.random.default_rng(32)
+    kind = rng.integers(0, 1 << 47, (20, 91)).astype(np.uint64)
+    kind[:, 37:54] = kind[0, 37:54]
+    s = np.repeat(kind, 30, axis=0)
+    s[np.arange(600), rng.choice([10, 20, 70, 80], 600)] = rng.integers(0, 1 << 47, 600).astype(np.uint64)
+    order = rng.permutation(600)
+    found, compared = _near_counted(s[order], 2, order, np.zeros(600, np.int64))
+    assert {i for p in found for i in p} == set(range(600)) and all(order[a] // 30 == order[b] // 30 for a, b in found)
+    assert compared < 600 * 50, compared  # of 179,700 pairs
+
+
+def test_every_pair_that_matters_of_a_group_is_compared():
+    """Only pairs are alike, whichever is a pivot first; two are of one text."""
+    rng = np.random.default_rng(33)
+    s = np.repeat(rng.integers(0, 1 << 47, (40, 91)).astype(np.uint64), 2, axis=0)
+    s[:, 37:54] = s[0, 37:54]
+    s[::2, 30] = rng.integers(0, 1 << 47, 40).astype(np.uint64)
+    order = rng.permutation(80)
+    own = order // 2 * 2 + (order % 2) * (order > 3)  # the first two pairs are of one text each
+    found, _ = _near_counted(s[order], 1, own, np.arange(80))
+    want = {frozenset((2 * i, 2 * i + 1)) for i in range(2, 40)}
+    assert {frozenset(order[list(p)].tolist()) for p in found} == want
+
+
+def test_surroundings_too_many_for_a_task_give_the_same(spark, monkeypatch):
+    rnd = random.Random(34)
+    footer = _passage(rnd, 60)
+    texts = [" ".join(_passage(rnd, 70) + p + _passage(rnd, 70) + footer) for pair in _around_a_phrase(rnd, 4) for p in pair]
+    out = substring_dedup.repeated_passages(frame(spark, texts)).orderBy("doc_id").collect()
+    calls, near = [], substring_dedup._near
+
+    def counted(p, *rest):
+        calls.append(p.count())
+        return near(p, *rest)
+    monkeypatch.setattr(substring_dedup, "_near", counted)
+    monkeypatch.setattr(substring_dedup, "_LARGE", 2)
+    again = substring_dedup.repeated_passages(frame(spark, texts)).orderBy("doc_id").collect()
+    assert sum(calls) > 0
+    assert [r["component_id"] for r in again] == [r["component_id"] for r in out] == [0] * len(texts)
+    for a, b in zip(again, out):
+        assert len(a["spans"]) == len(b["spans"]) > 0
+
+
 def test_repeated_passages_awkward_rows(spark):
     df = awkward(spark)
     out = substring_dedup.repeated_passages(df).collect()
